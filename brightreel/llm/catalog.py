@@ -1,11 +1,13 @@
 """The subpackage's registered queries and their SQL twins."""
 
-from brightreel.llm import dedup, fusion
+from brightreel.llm import dedup, fusion, pii
 
 QUERIES = {
     "p2_found": fusion.p2_found,
     "p2_fused": fusion.p2_fused,
     "p6_found": dedup.p6_found,
+    "p9_found": pii.p9_found,
+    "p9_redacted": pii.p9_redacted,
 }
 SQL = {
     "p2_found": fusion.P2_SQL,
