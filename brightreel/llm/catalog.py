@@ -1,15 +1,19 @@
 """The subpackage's registered queries and their SQL twins."""
 
-from brightreel.llm import dedup, fusion, pii
+from brightreel.llm import dedup, fusion, leakage, packing, pii
 
 QUERIES = {
     "p2_found": fusion.p2_found,
     "p2_fused": fusion.p2_fused,
     "p6_found": dedup.p6_found,
+    "p7_packed": packing.p7_packed,
+    "p8_found": leakage.p8_found,
+    "p8_near": leakage.p8_near,
     "p9_found": pii.p9_found,
     "p9_redacted": pii.p9_redacted,
 }
 SQL = {
     "p2_found": fusion.P2_SQL,
     "p6_found": dedup.P6_SQL,
+    "p8_found": leakage.P8_SQL,
 }
