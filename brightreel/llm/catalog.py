@@ -1,10 +1,12 @@
 """The subpackage's registered queries and their SQL twins."""
 
-from brightreel.llm import dedup, fusion, leakage, packing, pii
+from brightreel.llm import dedup, fusion, leakage, lookalike, packing, pii
 
 QUERIES = {
     "p2_found": fusion.p2_found,
     "p2_fused": fusion.p2_fused,
+    "p3_found": lookalike.p3_found,
+    "p3_normalised": lookalike.p3_normalised,
     "p6_found": dedup.p6_found,
     "p7_packed": packing.p7_packed,
     "p8_found": leakage.p8_found,
