@@ -1,8 +1,10 @@
 """The subpackage's registered queries and their SQL twins."""
 
-from brightreel.llm import dedup, fusion, leakage, lookalike, packing, pii
+from brightreel.llm import canonical, dedup, fusion, leakage, lookalike, packing, pii
 
 QUERIES = {
+    "p1_found": canonical.p1_found,
+    "p1_misses": canonical.p1_misses,
     "p2_found": fusion.p2_found,
     "p2_fused": fusion.p2_fused,
     "p3_found": lookalike.p3_found,
