@@ -1,6 +1,6 @@
 """The subpackage's registered queries and their SQL twins."""
 
-from brightreel.llm import canonical, dedup, fusion, leakage, lookalike, packing, pii
+from brightreel.llm import canonical, dedup, entities, fusion, leakage, lookalike, packing, pii
 
 QUERIES = {
     "p1_found": canonical.p1_found,
@@ -9,6 +9,8 @@ QUERIES = {
     "p2_fused": fusion.p2_fused,
     "p3_found": lookalike.p3_found,
     "p3_normalised": lookalike.p3_normalised,
+    "p4_found": entities.p4_found,
+    "p4_scored": entities.p4_scored,
     "p6_found": dedup.p6_found,
     "p7_packed": packing.p7_packed,
     "p8_found": leakage.p8_found,
