@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
 from brightreel.operators import instants
+from brightreel.plans import base, matching, merging  # noqa: F401
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {"p5_found": instants.p5_found}
-SQL: dict[str, str] = {}
-FLAGSHIP = "p5_found"
+base.QUERIES["p5_found"] = instants.p5_found
+QUERIES = base.QUERIES
+SQL = base.SQL
+FLAGSHIP = "q_movie_summary"
