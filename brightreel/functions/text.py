@@ -16,7 +16,7 @@ LABEL_RULES = [
 
 def collapse(c: Column) -> Column:
     """any run of white space to one space, ends trimmed."""
-    return F.trim(F.regexp_replace(c, r"[ \t\n\r  ]+", " "))
+    return F.trim(F.regexp_replace(c, r"[ \t\n\r\u00a0\u202f]+", " "))
 
 
 def literal_key(c: Column) -> Column:
