@@ -1,0 +1,154 @@
+"""Rows out of semi-structured text (X1-X6, X11): parsers run per text in Arrow batches."""
+
+from __future__ import annotations
+
+import html
+import json
+import re
+from collections.abc import Iterator
+from html.parser import HTMLParser
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Fields that name a title or hold a start time, in order.
+TITLE_FIELDS = ["movieTitle", "movieName", "title", "name", "displayName"]
+TIME_FIELDS = ["showDateTimeUtc", "showDateTimeLocal", "showDateTime", "startDateTime", "startTime", "startsAt", "start", "dateTime", "time"]
+ANCHOR_REACH = 12_000
+
+
+def walk(node: object, title: str | None = None) -> Iterator[tuple[str, str]]:
+    """(title, time text) of every object with a start time; a title is inherited until another overrides it."""
+    stack = [(node, title)]
+    while stack:
+        x, t = stack.pop()
+        if isinstance(x, dict):
+            t = next((x[k] for k in TITLE_FIELDS if isinstance(x.get(k), str) and x[k].strip()), t)
+            for k in TIME_FIELDS:
+                if isinstance(x.get(k), str) and t:
+                    yield t, x[k]
+            stack += [(v, t) for v in reversed(list(x.values())) if isinstance(v, (dict, list))]
+        elif isinstance(x, list):
+            stack += [(v, t) for v in reversed(x) if isinstance(v, (dict, list))]
+
+
+_SCRIPT = re.compile(r"<script[^>]*>(.*?)</script>", re.S | re.I)
+
+
+def scripts(page: str) -> Iterator[tuple[str, str]]:
+    """The walk over every script of a page that is JSON."""
+    for m in _SCRIPT.finditer(page):
+        body = m.group(1).strip()
+        if body[:1] in "[{":
+            try:
+                yield from walk(json.loads(body))
+            except ValueError:
+                continue
+
+
+_RECORD = re.compile(r'"showtimeId":\s*"?(\w+)"?([^{}]*?)"status":\s*"(\w+)"[^{}]*?"showDateTimeUtc":\s*"([^"]+)"')
+_ANCHOR = re.compile(r'"(?:movieTitle|movieName)":\s*"((?:[^"\\]|\\.)*)"')
+
+
+def flight(page: str) -> list[tuple[str, str, str]]:
+    """(id, title, UTC text) of escaped records in order of their fields; the title is the last one before, within reach."""
+    text = page
+    for _ in range(2):
+        text = text.replace('\\"', '"')
+    anchors = [(m.end(), m.group(1)) for m in _ANCHOR.finditer(text)]
+    out, k = [], 0
+    for m in _RECORD.finditer(text):
+        while k < len(anchors) and anchors[k][0] <= m.start():
+            k += 1
+        if k and m.start() - anchors[k - 1][0] <= ANCHOR_REACH and m.group(3).lower() not in ("canceled", "cancelled"):
+            out.append((m.group(1), html.unescape(anchors[k - 1][1]), m.group(4)))
+    return out
+
+
+class _Regions(HTMLParser):
+    """Clock links inside regions labelled 'Showtimes for ...'; X11: title, Open Graph fields."""
+
+    CLOCK = re.compile(r"\b\d{1,2}:\d{2}\s*[ap]m\b", re.I)
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.depth, self.regions, self.link, self.rows, self.text, self.meta, self.in_title = 0, [], None, [], [], {}, False
+
+    def handle_starttag(self, tag, attrs):
+        a = dict(attrs)
+        if tag == "meta":
+            if a.get("property", "").startswith("og:"):
+                self.meta.setdefault(a["property"], a.get("content"))
+            return
+        if tag in ("br", "img", "input", "link", "hr", "source"):
+            return
+        self.depth += 1
+        label = a.get("aria-label") or ""
+        if label.startswith("Showtimes for "):
+            self.regions.append((self.depth, label[len("Showtimes for ") :].strip()))
+        if tag == "a" and re.search(r"/showtimes/\w+", a.get("href") or ""):
+            self.link = (a["href"].rstrip("/").rsplit("/", 1)[-1], [])
+        self.in_title = tag == "title"
+
+    def handle_data(self, data):
+        if self.link:
+            self.link[1].append(data)
+        if self.in_title:
+            self.meta.setdefault("title", data.strip())
+        self.text.append(data)
+
+    def handle_endtag(self, tag):
+        if tag == "a" and self.link:
+            clock = self.CLOCK.search(" ".join(self.link[1]))
+            if clock and self.regions:
+                self.rows.append((self.link[0], self.regions[-1][1], clock.group(0)))
+            self.link = None
+        if self.regions and self.regions[-1][0] == self.depth:
+            self.regions.pop()
+        self.depth = max(0, self.depth - 1)
+        self.in_title = False
+
+
+def regions(page: str) -> list[tuple[str, str, str]]:
+    """(id, title, clock)."""
+    p = _Regions()
+    p.feed(page)
+    return p.rows
+
+
+def metadata(page: str) -> dict[str, str | None]:
+    """X11: the title by Open Graph, then the title element; picture; visible text is not read."""
+    p = _Regions()
+    p.feed(page)
+    return {"title": p.meta.get("og:title") or p.meta.get("title"), "poster_url": p.meta.get("og:image")}
+
+
+def showings(pages: DataFrame) -> DataFrame:
+    """(page_id, kind, showing_id, title, time) from (page_id, html).
+
+    A text filter that Spark can run goes before the parsers, which it can't look into.
+    """
+    some = pages.where(F.col("html").isNotNull() & (F.col("html").contains("showtime") | F.col("html").contains("Showtimes") | F.col("html").contains("start")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for i, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                found = [(i, "rendered", *r) for r in regions(page)] + [(i, "flight", *r) for r in flight(page)]
+                rows += found or [(i, "script", None, *r) for r in dict.fromkeys(scripts(page))]
+            cols = list(zip(*rows)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *[pa.array(c, pa.string()) for c in cols[1:]]], ["page_id", "kind", "showing_id", "title", "time"])
+
+    return some.select(F.col("page_id").cast("bigint"), "html").mapInArrow(run, "page_id bigint, kind string, showing_id string, title string, time string")
+
+
+def parse_blob(df: DataFrame, key: str, blob: str) -> DataFrame:
+    """(key, theatre, show_date, show_time) out of lines '# theatre' followed by lines '* date: time, time'.
+
+    The text is split at its headers, so that each date line carries its theatre without a window.
+    """
+    part = F.explode(F.filter(F.split(F.concat(F.lit("\n"), F.col(blob)), "\n# "), lambda x: F.trim(x) != ""))
+    lines = df.select(key, part.alias("p")).select(key, F.split("p", "\n")[0].alias("theatre"), F.explode(F.slice(F.split("p", "\n"), 2, 1_000_000)).alias("line"))
+    dated = lines.select(key, "theatre", F.regexp_extract("line", r"^\* (\d{4}-\d{2}-\d{2}): ", 1).try_cast("date").alias("show_date"), F.regexp_replace("line", r"^\* \d{4}-\d{2}-\d{2}: ", "").alias("t")).where("show_date is not null")
+    return dated.select(key, "theatre", "show_date", F.explode(F.split("t", ", ")).alias("show_time"))
