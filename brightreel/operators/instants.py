@@ -40,7 +40,7 @@ def normalise_instants(df: DataFrame, row_id: str, columns: list[str], default_z
 
 
 def place_zones(theatre: DataFrame) -> DataFrame:
-    """(place_key, zone) of a theatre list; a key that names two zones names none."""
+    """(place_key, zone) of a theatre list; a key that names two zones names none."""
     keyed = theatre.select(name_key(F.col("name")).alias("place_key"), known_zone(F.col("timezone")).alias("zone")).where("place_key != ''")
     return keyed.groupBy("place_key").agg(F.min("zone").alias("zone"), F.max("zone").alias("other")).where("zone = other").drop("other")
 

@@ -120,7 +120,7 @@ def q_continuity_match(t):
 
 @query("""SELECT n_name, count(*) AS n_lines, count(DISTINCT o_orderkey) AS n_orders FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE l_returnflag = 'R' GROUP BY 1""")
 def q_id_bridge(t):
-    """Chain of key joins from line to nation, each verified by equality."""
+    """Batched lookups as joins; a chain of key joins from line to nation, each verified by equality."""
     l = t.lineitem.where("l_returnflag = 'R'").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
     j = l.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return j.groupBy("n_name").agg(F.sum("n").alias("n_lines"), F.count(F.lit(1)).alias("n_orders"))

@@ -128,7 +128,7 @@ RULES = [("kids", "sing-?along|cartoon|lullaby"), ("music", "score|ensemble|orch
 h AS (SELECT doc_id, pos, tag FROM documents JOIN r ON regexp_matches(lower(text), rx)), g AS (SELECT doc_id, string_agg(tag, '|' ORDER BY pos) AS tags, count(*) AS n FROM h GROUP BY 1)
 SELECT d.doc_id, coalesce(tags, 'General') AS tags, coalesce(n, 0) AS n_reasons FROM documents d LEFT JOIN g USING (doc_id)""")
 def q_multilabel_tags(t):
-    """A table of rules against texts; ordered tags, a default where none applies. One pass, no join."""
+    """A table of rules against texts; ordered tags, a default where none applies. One pass, no join."""
     hits = F.filter(F.array(*[F.when(F.lower("text").rlike(rx), F.lit(tag)) for tag, rx in RULES]), lambda x: x.isNotNull())
     return t.documents.select("doc_id", hits.alias("h")).select("doc_id", F.when(F.size("h") > 0, F.array_join("h", "|")).otherwise("General").alias("tags"), F.size("h").cast("bigint").alias("n_reasons"))
 

@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fields that name a title or hold a start time, in order.
@@ -52,7 +52,7 @@ _ANCHOR = re.compile(r'"(?:movieTitle|movieName)":\s*"((?:[^"\\]|\\.)*)"')
 
 
 def flight(page: str) -> list[tuple[str, str, str]]:
-    """(id, title, UTC text) of escaped records in order of their fields; the title is the last one before, within reach."""
+    """(id, title, UTC text) of escaped records in order of their fields; the title is the last one before, within reach."""
     text = page
     for _ in range(2):
         text = text.replace('\\"', '"')
@@ -124,6 +124,12 @@ def metadata(page: str) -> dict[str, str | None]:
     return {"title": p.meta.get("og:title") or p.meta.get("title"), "poster_url": p.meta.get("og:image")}
 
 
+def infobox_image(wikitext: Column) -> Column:
+    """The file name of the first image field of an infobox; null without one. The whole text is read."""
+    name = F.regexp_extract(wikitext, r"(?im)^\s*\|\s*image\s*=\s*(?:\[\[)?(?:File:|Image:)?\s*([^\]|\n]+?)\s*(?:\||\]|$)", 1)
+    return F.when(name != "", name)
+
+
 def showings(pages: DataFrame) -> DataFrame:
     """(page_id, kind, showing_id, title, time) from (page_id, html).
 

@@ -57,6 +57,12 @@ def test_regions_and_metadata():
     assert extract.metadata(page) == {"title": "T", "poster_url": None}
 
 
+def test_infobox_image(spark):
+    texts = ["{{Infobox film\n| name = A\n| image = Poster A.jpg\n}}", "x" * 30_000 + "\n|image=[[File:B c.png|thumb]]", "no image", None, "| image =\n| alt = z"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    assert {r.i: r.n for r in df.select("i", extract.infobox_image(F.col("t")).alias("n")).collect()} == {0: "Poster A.jpg", 1: "B c.png", 2: None, 3: None, 4: None}
+
+
 def test_showings(spark):
     pages = [(1, '<script>{"title": "A", "startTime": "t"}</script>'), (2, None), (3, "")]
     df = spark.createDataFrame(pages, "page_id int, html string")
