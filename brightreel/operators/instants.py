@@ -66,3 +66,46 @@ def feed_instants(screenings: DataFrame, venues: DataFrame, showtime: DataFrame,
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = {n: table(spark, sf_dir, n) for n in ("screenings", "venues", "showtime", "theatre")}
     return feed_instants(t["screenings"], t["venues"], t["showtime"], t["theatre"])
+
+
+# The same instants by another road: DuckDB's zones and text functions; its local times that occur twice are moved to the earlier instant.
+P5_SQL = r"""
+WITH zone_of AS (SELECT id, min(timezone) AS z FROM venues WHERE id IS NOT NULL GROUP BY 1),
+raw AS (
+  SELECT 'startsAt' AS field_name, screening_id AS row_id, startsAt AS v, z, NULL::DATE AS day FROM screenings LEFT JOIN zone_of ON venueId = id
+  UNION ALL SELECT 'verified_at', screening_id, verified_at, z, NULL FROM screenings LEFT JOIN zone_of ON venueId = id
+  UNION ALL SELECT 'show_time', ingest_seq, show_time, t.timezone, show_date FROM showtime s
+    JOIN theatre t ON lower(regexp_replace(s.theatre, '[^\p{L}\p{M}\p{N}]+', '', 'g')) = lower(regexp_replace(t.name, '[^\p{L}\p{M}\p{N}]+', '', 'g'))),
+tidy AS (SELECT field_name, row_id, z, day, trim(regexp_replace(v, '[\s\x{00A0}\x{2000}-\x{200A}\x{202F}\x{3000}]+', ' ', 'g')) AS t FROM raw WHERE v IS NOT NULL),
+zoned AS (SELECT *, regexp_extract(t, '(?i)[\d\]m] ?(Z|UTC|GMT|[PMCE][SD]?T|\[[A-Za-z_/]+\]|(?:[T ]?\d{1,2}:\d{2}(?::\d{2})?(?:\.\d+)?) ?[+-]\d{2}(?::?\d{2})?)$', 1) AS tail FROM tidy),
+split AS (SELECT * EXCLUDE (tail), CASE WHEN regexp_matches(tail, '[+-]\d{2}(:?\d{2})?$') AND tail LIKE '%:%' THEN regexp_extract(tail, '([+-]\d{2}(?::?\d{2})?)$', 1) ELSE tail END AS zt FROM zoned),
+body AS (SELECT *, trim(CASE WHEN zt = '' THEN t ELSE substring(t, 1, length(t) - length(zt)) END) AS b FROM split),
+parts AS (SELECT *,
+  CASE WHEN regexp_full_match(b, '\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}.*') THEN substring(b, 1, 10)
+       WHEN regexp_full_match(b, '\d{8}T\d{6}') THEN substring(b, 1, 4) || '-' || substring(b, 5, 2) || '-' || substring(b, 7, 2)
+       WHEN regexp_full_match(b, '\d{1,2}/\d{1,2}/\d{2,4} .*') THEN right('20' || regexp_extract(b, '^\d+/\d+/(\d+)', 1), 4) || '-' || lpad(regexp_extract(b, '^(\d+)/', 1), 2, '0') || '-' || lpad(regexp_extract(b, '^\d+/(\d+)', 1), 2, '0')
+       WHEN regexp_full_match(b, '\d{2}\.\d{2}\.\d{4} .*') THEN substring(b, 7, 4) || '-' || substring(b, 4, 2) || '-' || substring(b, 1, 2)
+       WHEN regexp_full_match(b, '[A-Z][a-z]{2}, \d{1,2} [A-Z][a-z]{2} \d{4} .*') THEN strftime(try_strptime(regexp_extract(b, ', (\d+ \w+ \d{4})', 1), '%d %b %Y'), '%Y-%m-%d')
+       WHEN regexp_full_match(b, '[A-Z][a-z]+ \d{1,2}, \d{4} .*') THEN strftime(try_strptime(regexp_extract(b, '^(\w+ \d+, \d{4})', 1), '%B %d, %Y'), '%Y-%m-%d') END AS iso,
+  CASE WHEN regexp_full_match(b, '\d{8}T\d{6}') THEN substring(b, 10, 2) || ':' || substring(b, 12, 2) || ':' || substring(b, 14, 2)
+       WHEN regexp_full_match(b, '\d{4}') THEN substring(b, 1, 2) || ':' || substring(b, 3, 2)
+       WHEN regexp_full_match(b, '(?i)\d{1,2} ?[:.h] ?\d{2}(:\d{2})?( ?[ap]\.?m\.?)?') THEN regexp_replace(b, '(?i)^(\d+) ?[:.h] ?(\d{2})', '\1:\2')
+       ELSE regexp_extract(b, '(?i)[T ](\d{1,2}:\d{2}(?::\d{2})?(?:\.\d+)?(?: ?[ap]\.?m\.?)?)$', 1) END AS clock
+  FROM body),
+nums AS (SELECT *, try_cast(regexp_extract(clock, '^(\d+):', 1) AS INT) AS h, try_cast(regexp_extract(clock, ':(\d{2})', 1) AS INT) AS mi, coalesce(try_cast(nullif(regexp_extract(clock, ':\d{2}:(\d{2})', 1), '') AS INT), 0) AS s,
+  coalesce(try_cast(nullif(rpad(regexp_extract(clock, '\.(\d+)', 1), 6, '0'), '000000') AS INT), 0) AS us, lower(regexp_extract(clock, '(?i)([ap])\.?m', 1)) AS half FROM parts),
+clocks AS (SELECT *, CASE WHEN mi <= 59 AND s <= 59 AND (half = '' AND h <= 23 OR half <> '' AND h BETWEEN 1 AND 12)
+    THEN ((CASE WHEN half = '' THEN h ELSE h % 12 + CASE WHEN half = 'p' THEN 12 ELSE 0 END END)::BIGINT * 3600 + mi * 60 + s) * 1000000 + us END AS c,
+  CASE WHEN iso IS NOT NULL THEN try_cast(iso AS DATE) WHEN field_name = 'show_time' THEN day END AS d FROM nums),
+loc AS (SELECT *, epoch_us(d::TIMESTAMP) + c AS l,
+  CASE WHEN zt = '' OR upper(zt) IN ('PT', 'MT', 'CT', 'ET') THEN z WHEN zt LIKE '[%' THEN substring(zt, 2, length(zt) - 2) END AS region,
+  CASE WHEN regexp_matches(zt, '^[+-]') THEN (CASE WHEN zt LIKE '-%' THEN -1 ELSE 1 END) * (substring(zt, 2, 2)::INT * 60 + coalesce(try_cast(nullif(substring(replace(zt, ':', ''), 4, 2), '') AS INT), 0))
+       ELSE 60 * CASE upper(zt) WHEN 'Z' THEN 0 WHEN 'UTC' THEN 0 WHEN 'GMT' THEN 0 WHEN 'EST' THEN -5 WHEN 'EDT' THEN -4 WHEN 'CST' THEN -6 WHEN 'CDT' THEN -5 WHEN 'MST' THEN -7 WHEN 'MDT' THEN -6 WHEN 'PST' THEN -8 WHEN 'PDT' THEN -7 END END AS off FROM clocks),
+fixed AS (SELECT *, l - off::BIGINT * 60000000 AS f, CASE WHEN region IS NOT NULL THEN timezone(region, make_timestamp(l)) END AS g FROM loc),
+out AS (SELECT field_name, row_id, CASE
+    WHEN regexp_full_match(t, '\d{10}') AND day IS NULL THEN t::BIGINT * 1000000 WHEN regexp_full_match(t, '\d{13}') AND day IS NULL THEN t::BIGINT * 1000
+    WHEN region IS NOT NULL THEN CASE WHEN timezone(region, g - INTERVAL 1 HOUR) = make_timestamp(l) THEN epoch_us(g) - 3600000000 ELSE epoch_us(g) END
+    WHEN iso IS NOT NULL THEN f
+    ELSE f + date_diff('day', CAST(timezone(z, timezone('UTC', make_timestamp(f))) AS DATE), day)::BIGINT * 86400000000 END AS utc_us FROM fixed)
+SELECT field_name, row_id, utc_us FROM out WHERE utc_us IS NOT NULL
+"""

@@ -6,6 +6,7 @@ from brightreel.operators import instants
 from brightreel.plans import base, flows, logs, matching, merging, texts  # noqa: F401
 
 base.QUERIES["p5_found"] = instants.p5_found
+base.SQL["p5_found"] = instants.P5_SQL
 QUERIES = base.QUERIES
 SQL = base.SQL
 FLAGSHIP = "q_movie_summary"
