@@ -1,13 +1,14 @@
 """Problem 8: evaluation texts leaking into training text.
 
 Method: pigeonhole edit matching over words. A passage of RUN words with an
-error budget of ``errors`` is split into ``errors + 1`` pieces; a text that
-holds the passage within the budget holds one piece exactly. The items are cut
-into such pieces end to end, an Aho-Corasick automaton finds the exact piece
+error budget of ``errors`` that holds ``errors + 1`` pieces lends one of them
+exactly to each text within the budget. The items are cut end to end into
+pieces so short that a passage holds ``errors + 1`` whole ones wherever it
+begins; an Aho-Corasick automaton finds the exact piece
 hits in each text, and around each hit Myers' bit-parallel distance, with
 words as symbols, verifies the passages that contain the piece. An exact check
-then extends the hit to the longest common run of words. As a run of RUN words
-holds a whole piece wherever it begins, no exact run is lost.
+then extends the hit to the longest common run of words. No passage within the
+budget is lost.
 
 The items form a list of fixed length; they go to the tasks in blocks of at
 most MAX_ITEMS, one pass over the texts for each block, so that a longer list
@@ -72,8 +73,8 @@ class Matcher:
 
     def __init__(self, items: list[tuple[int, str]], run: int, errors: int):
         self.run, self.errors = run, errors
-        # A run that begins anywhere holds a whole piece if two pieces less one word fit into it.
-        self.piece = max(1, min(run // (errors + 1), (run + 1) // 2))
+        # A run that begins anywhere holds errors + 1 whole pieces if one piece more, less one word, fits into it.
+        self.piece = max(1, (run + 1) // (errors + 2))
         self.items = [(i, w) for i, t in items if len(w := words(t)) >= run]
         at: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for k, (_, w) in enumerate(self.items):
@@ -124,7 +125,10 @@ class Matcher:
         """Least distance of a passage of ``run`` words around the piece to the text around the hit."""
         least = self.run
         reach = self.run - self.piece
+        near = set(w[max(0, p - reach - self.errors) : p + self.run + self.errors])
         for s in range(max(0, q - reach), min(q, len(own) - self.run) + 1):
+            if sum(x in near for x in own[s : s + self.run]) < self.run - self.errors:
+                continue  # each word that is not there is an error
             lo = max(0, p - (q - s) - self.errors)
             least = min(least, myers(own[s : s + self.run], w[lo : p - (q - s) + self.run + self.errors]))
             if not least:
@@ -152,17 +156,17 @@ def matches(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _own(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matches(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_item"), "item_id", "text")
+def _own(spark: SparkSession, sf_dir: str, errors: int) -> DataFrame:
+    return matches(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_item"), "item_id", "text", errors=errors)
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _own(spark, sf_dir).where(F.col("run_words") >= RUN).select("doc_id", "item_id")
+    return _own(spark, sf_dir, 0).where(F.col("run_words") >= RUN).select("doc_id", "item_id")
 
 
 def p8_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Also passages with an error within the budget."""
-    return _own(spark, sf_dir)
+    return _own(spark, sf_dir, ERRORS)
 
 
 P8_SQL = r"""
