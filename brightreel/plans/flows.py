@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from brightreel.functions import fuzzy, text
 from brightreel.plans.base import query
-from brightreel.sources.extract import parse_blob, showings
+from brightreel.sources.extract import escape_html, escape_part, parse_blob, showings
 from brightreel.streaming import recent
 
 
 @query(r"""SELECT movie_title, theatre, show_date, show_time FROM showtime WHERE movie_title IS NOT NULL AND theatre IS NOT NULL AND regexp_matches(show_time, '^\d{1,2}:\d{2} [ap]m$') AND NOT contains(theatre, chr(10))""")
 def q_blob_parse(t):
-    """The programme of a title as one text, read back into rows."""
+    """The programme of a title as one text, read back into rows; only times like '7:00 pm', q_blob_parse_all has every notation."""
     s = t.showtime.where(F.col("movie_title").isNotNull() & F.col("theatre").isNotNull() & F.col("show_time").rlike(r"^\d{1,2}:\d{2} [ap]m$") & ~F.col("theatre").contains("\n"))
     days = s.groupBy("movie_title", "theatre", "show_date").agg(F.concat(F.lit("* "), F.date_format("show_date", "yyyy-MM-dd"), F.lit(": "), F.array_join(F.array_sort(F.collect_list("show_time")), ", ")).alias("line"))
     places = days.groupBy("movie_title", "theatre").agg(F.concat(F.lit("# "), "theatre", F.lit("\n"), F.array_join(F.array_sort(F.collect_list("line")), "\n")).alias("part"))
@@ -22,12 +22,31 @@ def q_blob_parse(t):
 
 @query(r"""SELECT ingest_seq AS page_id, 'rendered' AS kind, showtime_id AS showing_id, movie_title AS title, show_time AS time FROM showtime WHERE regexp_matches(showtime_id, '^s\d+$') AND regexp_matches(movie_title, '^[A-Za-z ]+$') AND regexp_matches(movie_title, '^\S.*\S$') AND regexp_matches(show_time, '^\d{1,2}:\d{2} [ap]m$')""")
 def q_page_showings(t):
-    """Rows out of rendered pages."""
+    """Rows out of rendered pages; only titles of letters and spaces, q_page_showings_all has every title."""
     s = t.showtime.where(F.col("showtime_id").rlike(r"^s\d+$") & F.col("movie_title").rlike("^[A-Za-z ]+$") & F.col("movie_title").rlike(r"^\S.*\S$") & F.col("show_time").rlike(r"^\d{1,2}:\d{2} [ap]m$"))
     page = F.concat(F.lit('<html><title>x</title><section aria-label="Showtimes for '), "movie_title", F.lit('"><div><a href="/showtimes/'), "showtime_id", F.lit('">'), "show_time", F.lit("</a></div></section></html>"))
     return showings(s.select(F.col("ingest_seq").alias("page_id"), page.alias("html")))
 
 
+@query(r"""SELECT movie_title, theatre, show_date, show_time FROM showtime WHERE movie_title IS NOT NULL AND theatre IS NOT NULL AND show_date IS NOT NULL AND regexp_matches(show_time, '[^ \t\n\r\f]')""")
+def q_blob_parse_all(t):
+    """q_blob_parse over every row with all parts, in any notation; separators inside a part are escaped."""
+    s = t.showtime.where(F.col("movie_title").isNotNull() & F.col("theatre").isNotNull() & F.col("show_date").isNotNull() & F.col("show_time").rlike(r"[^ \t\n\r\f]"))
+    days = s.groupBy("movie_title", "theatre", "show_date").agg(F.concat(F.lit("* "), F.date_format("show_date", "yyyy-MM-dd"), F.lit(": "), F.array_join(F.array_sort(F.collect_list(escape_part(F.col("show_time")))), ", ")).alias("line"))
+    places = days.groupBy("movie_title", "theatre").agg(F.concat(F.lit("# "), escape_part(F.col("theatre")), F.lit("\n"), F.array_join(F.array_sort(F.collect_list("line")), "\n")).alias("part"))
+    blobs = places.groupBy("movie_title").agg(F.array_join(F.array_sort(F.collect_list("part")), "\n").alias("blob"))
+    return parse_blob(blobs, "movie_title", "blob", escaped=True)
+
+
+@query(r"""WITH s AS (SELECT ingest_seq, showtime_id, regexp_replace(movie_title, '^[\s\x{00A0}\x{202F}]+|[\s\x{00A0}\x{202F}]+$', '', 'g') AS title, regexp_extract(show_time, '(?i)\b\d{1,2}:\d{2}[\s\x{00A0}\x{202F}]*[ap]m\b') AS time FROM showtime WHERE regexp_matches(showtime_id, '^\w[^/]*$') AND movie_title IS NOT NULL)
+SELECT ingest_seq AS page_id, 'rendered' AS kind, showtime_id AS showing_id, title, time FROM s WHERE time <> ''""")
+def q_page_showings_all(t):
+    """Rows out of rendered pages, of every row with an id and a clock link; texts are escaped in the page."""
+    s = t.showtime.where(F.col("showtime_id").rlike(r"^\w[^/]*$") & F.col("movie_title").isNotNull() & F.col("show_time").isNotNull())
+    page = F.concat(F.lit('<html><title>x</title><section aria-label="Showtimes for '), escape_html(F.col("movie_title")), F.lit('"><div><a href="/showtimes/'), escape_html(F.col("showtime_id")), F.lit('">'), escape_html(F.col("show_time")), F.lit("</a></div></section></html>"))
+    return showings(s.select(F.col("ingest_seq").alias("page_id"), page.alias("html")))
+
+
 @query()
 def q_likeness(t):
     """Three ratios after blocking; no SQL engine has them, tests hold them against their definitions.

@@ -149,7 +149,27 @@ def showings(pages: DataFrame) -> DataFrame:
     return some.select(F.col("page_id").cast("bigint"), "html").mapInArrow(run, "page_id bigint, kind string, showing_id string, title string, time string")
 
 
-def parse_blob(df: DataFrame, key: str, blob: str) -> DataFrame:
+def _replaced(c: Column, pairs: list[tuple[str, str]]) -> Column:
+    for a, b in pairs:
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return c
+
+
+# What separates the parts of a programme text, and its escapes; the escape sign comes first.
+ESCAPES = [("\\", "\\b"), ("\n", "\\n"), (",", "\\c")]
+
+
+def escape_part(c: Column) -> Column:
+    """A part of a programme text without separators; parse_blob(escaped=True) reads it back."""
+    return _replaced(c, ESCAPES)
+
+
+def escape_html(c: Column) -> Column:
+    """Text as it stands in a page, in an attribute too."""
+    return _replaced(c, [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")])
+
+
+def parse_blob(df: DataFrame, key: str, blob: str, escaped: bool = False) -> DataFrame:
     """(key, theatre, show_date, show_time) out of lines '# theatre' followed by lines '* date: time, time'.
 
     The text is split at its headers, so that each date line carries its theatre without a window.
@@ -157,4 +177,6 @@ def parse_blob(df: DataFrame, key: str, blob: str) -> DataFrame:
     part = F.explode(F.filter(F.split(F.concat(F.lit("\n"), F.col(blob)), "\n# "), lambda x: F.trim(x) != ""))
     lines = df.select(key, part.alias("p")).select(key, F.split("p", "\n")[0].alias("theatre"), F.explode(F.slice(F.split("p", "\n"), 2, 1_000_000)).alias("line"))
     dated = lines.select(key, "theatre", F.regexp_extract("line", r"^\* (\d{4}-\d{2}-\d{2}): ", 1).try_cast("date").alias("show_date"), F.regexp_replace("line", r"^\* \d{4}-\d{2}-\d{2}: ", "").alias("t")).where("show_date is not null")
-    return dated.select(key, "theatre", "show_date", F.explode(F.split("t", ", ")).alias("show_time"))
+    rows = dated.select(key, "theatre", "show_date", F.explode(F.split("t", ", ")).alias("show_time"))
+    plain = [(b, a) for a, b in reversed(ESCAPES)] if escaped else []
+    return rows.select(key, _replaced(F.col("theatre"), plain).alias("theatre"), "show_date", _replaced(F.col("show_time"), plain).alias("show_time"))
