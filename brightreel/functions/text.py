@@ -55,6 +55,24 @@ def format_label(c: Column) -> Column:
     return chain.otherwise(c)
 
 
+# Languages a title version may name, longer ones first.
+LANGUAGES = ["mandarin chinese", "malayalam", "vietnamese", "assamese", "cantonese", "gujarati", "filipino", "japanese", "mandarin", "bengali", "chinese", "kannada", "marathi", "punjabi", "spanish", "tagalog", "korean", "telugu", "hindi", "tamil", "odia", "thai"]
+
+
+def spoken_languages(c: Column) -> Column:
+    """the distinct languages X of 'X Spoken with', in order of the alphabet."""
+    found = F.regexp_extract_all(c, F.lit(r"(?i)\b([A-Za-z][A-Za-z '&-]{1,40}?)\s+Spoken\s+with\b"), F.lit(1))
+    return F.array_sort(F.array_distinct(F.transform(found, lambda x: F.lower(collapse(x)))))
+
+
+def version_languages(c: Column) -> Column:
+    """the languages of a bracket or dash suffix that is nothing but a language qualifier; a year may follow."""
+    title = F.regexp_replace(collapse(c), r"\s*\(\d{4}\)\s*$", "")
+    one = r"(?i)^\s*(?:in\s+|original\s+)?(" + "|".join(LANGUAGES) + r")(?:[\s-]+(?:language|version|dubbed|dub|subtitled))?(?:\s*(?:[,/]|with|w/?)\s*english\s*(?:subtitles?|subs|cc))?\s*$"
+    suffixes = F.array(*[F.regexp_extract(title, rx, 1) for rx in (r"\(([^()]*)\)\s*$", r"\[([^\[\]]*)\]\s*$", r"\s+[-–—]\s+([^()\[\]]{1,80})\s*$")])
+    return F.array_distinct(F.filter(F.transform(suffixes, lambda x: F.lower(F.regexp_extract(x, one, 1))), lambda x: x != ""))
+
+
 def truncate(c: Column, most: int = 40) -> Column:
     """F16."""
     return F.when(F.length(c) > most, F.concat(F.substring(c, 1, most - 3), F.lit("..."))).otherwise(c)

@@ -22,12 +22,21 @@ def q_blob_parse(t):
 
 @query(r"""SELECT ingest_seq AS page_id, 'rendered' AS kind, showtime_id AS showing_id, movie_title AS title, show_time AS time FROM showtime WHERE regexp_matches(showtime_id, '^s\d+$') AND regexp_matches(movie_title, '^[A-Za-z ]+$') AND regexp_matches(movie_title, '^\S.*\S$') AND regexp_matches(show_time, '^\d{1,2}:\d{2} [ap]m$')""")
 def q_page_showings(t):
-    """Rows out of rendered pages; only titles of letters and spaces, q_page_showings_all has every title."""
+    """Rows out of rendered pages; only titles of letters and spaces, q_page_showings_all has every title."""
     s = t.showtime.where(F.col("showtime_id").rlike(r"^s\d+$") & F.col("movie_title").rlike("^[A-Za-z ]+$") & F.col("movie_title").rlike(r"^\S.*\S$") & F.col("show_time").rlike(r"^\d{1,2}:\d{2} [ap]m$"))
     page = F.concat(F.lit('<html><title>x</title><section aria-label="Showtimes for '), "movie_title", F.lit('"><div><a href="/showtimes/'), "showtime_id", F.lit('">'), "show_time", F.lit("</a></div></section></html>"))
     return showings(s.select(F.col("ingest_seq").alias("page_id"), page.alias("html")))
 
 
+@query(r"""WITH s AS (SELECT ingest_seq, showtime_id, regexp_extract(show_time, '(?i)\d{1,2}:\d{2}[\s\x{00A0}\x{202F}]*[ap]m') AS time FROM showtime WHERE regexp_matches(showtime_id, '^\w+$') AND movie_title IS NOT NULL)
+SELECT ingest_seq AS page_id, 'heading' AS kind, showtime_id AS showing_id, 'Film ' || ingest_seq AS title, regexp_replace(time, '[\s\x{00A0}\x{202F}]+', ' ', 'g') AS time FROM s WHERE time <> ''""")
+def q_page_headings(t):
+    """Rows out of pages with headings but no labelled region."""
+    s = t.showtime.where(F.col("showtime_id").rlike(r"^\w+$") & F.col("movie_title").isNotNull() & F.col("show_time").isNotNull())
+    page = F.concat(F.lit("<html><h1>Showtimes</h1><h2>Film "), F.col("ingest_seq").cast("string"), F.lit('</h2><p>95 min</p><div><a href="/showtimes/'), "showtime_id", F.lit('">'), escape_html(F.col("show_time")), F.lit("</a></div></html>"))
+    return showings(s.select(F.col("ingest_seq").alias("page_id"), page.alias("html")))
+
+
 @query(r"""SELECT movie_title, theatre, show_date, show_time FROM showtime WHERE movie_title IS NOT NULL AND theatre IS NOT NULL AND show_date IS NOT NULL AND regexp_matches(show_time, '[^ \t\n\r\f]')""")
 def q_blob_parse_all(t):
     """q_blob_parse over every row with all parts, in any notation; separators inside a part are escaped."""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from brightreel.functions import text
 from brightreel.plans.base import query
+from brightreel.sources.extract import claim_values
 
 SP = "[ \\t\\n\\r\u00a0\u202f]+"
 LIT = "trim(regexp_replace(regexp_replace(lower({0}), '&', ' and ', 'g'), '[^a-z0-9]+', ' ', 'g'))"
@@ -32,10 +33,28 @@ def q_key_variants(t):
 WHEN lower(format_label) LIKE '%laser%' THEN 'Laser' WHEN lower(format_label) LIKE '%dolby%' THEN 'Dolby' WHEN lower(format_label) LIKE '%imax%' THEN 'IMAX' WHEN lower(format_label) LIKE '%prime%' THEN 'Prime'
 WHEN lower(format_label) LIKE '%reald%' OR lower(format_label) LIKE '%3d%' THEN '3D' WHEN lower(format_label) LIKE '%no trailers%' THEN 'No Trailers' ELSE format_label END AS label FROM showtime""")
 def q_label_cascade(t):
-    """The first matching rule names the label."""
+    """the first matching rule names the label."""
     return t.showtime.select("ingest_seq", text.format_label(F.col("format_label")).alias("label"))
 
 
+@query(r"""SELECT title_row, CASE title_row % 4 WHEN 0 THEN 'hindi' WHEN 1 THEN CASE WHEN regexp_matches(coalesce(display_title, ''), '[\s\x{00A0}\x{202F}][-–—][\s\x{00A0}\x{202F}][^()\[\]]*$') THEN '' ELSE 'mandarin chinese' END ELSE '' END AS version, CASE title_row % 4 WHEN 2 THEN 'korean|tamil' ELSE '' END AS spoken FROM title_info""")
+def q_languages(t):
+    """Languages of wordings put behind every title; a dash suffix begins at the first dash, as in the reference."""
+    suffix = F.element_at(F.array(*[F.lit(x) for x in (" (Hindi with English Subtitles)", " - Mandarin Chinese Dubbed (2024)", ", Tamil Spoken with English Subtitles; [Korean  Spoken with subs], Tamil spoken with", " [Korean War]")]), (F.col("title_row") % 4 + 1).cast("int"))
+    d = t.title_info.select("title_row", F.concat(F.coalesce("display_title", F.lit("")), suffix).alias("d"))
+    return d.select("title_row", F.array_join(text.version_languages(F.col("d")), "|").alias("version"), F.array_join(text.spoken_languages(F.col("d")), "|").alias("spoken"))
+
+
+@query(r"""WITH e AS (SELECT event_id, regexp_extract(props, '"k": (\d+)', 1) AS k FROM events)
+SELECT event_id, 'P1' AS property, CAST(0 AS INT) AS pos, k AS value FROM e WHERE k <> '' UNION ALL SELECT event_id, 'P1', 2, 'text' FROM e WHERE k <> '' UNION ALL SELECT event_id, 'P2', 0, '{"id": "Q' || k || '"}' FROM e WHERE k <> ''""")
+def q_claims_flatten(t):
+    """Claims flattened, malformed ones skipped."""
+    k = F.regexp_extract("props", r'"k": (\d+)', 1)
+    e = t.events.select("event_id", k.alias("k")).where("k <> ''")
+    entity = F.format_string('{"claims": {"P1": [{"mainsnak": {"datavalue": {"value": %s}}}, {"mainsnak": {}}, {"mainsnak": {"datavalue": {"value": "text"}}}, 5], "P2": [{"mainsnak": {"datavalue": {"value": {"id": "Q%s"}}}}], "P3": "x"}}', "k", "k")
+    return claim_values(e.select("event_id", entity.alias("entity")), "event_id", "entity")
+
+
 @query(r"""WITH c AS (SELECT ingest_seq, show_time, regexp_matches(show_time, '^\s*\d{1,2}:\d{2}\s*[aApP][mM]\s*$') AS ok, try_cast(regexp_extract(show_time, '(\d{1,2}):', 1) AS INT) AS h, try_cast(regexp_extract(show_time, ':(\d{2})', 1) AS INT) AS m, lower(show_time) LIKE '%p%' AS pm FROM showtime),
 k AS (SELECT ingest_seq, CASE WHEN ok AND h BETWEEN 1 AND 12 AND m <= 59 THEN h % 12 * 60 + m + CASE WHEN pm THEN 720 ELSE 0 END ELSE 1000000000 END AS minutes FROM c)
 SELECT ingest_seq, minutes, CASE WHEN minutes < 1440 THEN CAST(CASE WHEN minutes // 60 % 12 = 0 THEN 12 ELSE minutes // 60 % 12 END AS VARCHAR) || ':' || lpad(CAST(minutes % 60 AS VARCHAR), 2, '0') || CASE WHEN minutes // 60 < 12 THEN ' am' ELSE ' pm' END END AS clock FROM k""")
@@ -97,7 +116,7 @@ def q_unit_convert(t):
 
 @query(r"""SELECT event_id, CAST(regexp_extract(props, '"k": (\d+)', 1) AS INT) AS k FROM events""")
 def q_json_props(t):
-    """Typed value of a JSON text."""
+    """typed value of a JSON text."""
     return t.events.select("event_id", F.from_json("props", "k int")["k"].alias("k"))
 
 

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 TITLE_FIELDS = ["movieTitle", "movieName", "title", "name", "displayName"]
 TIME_FIELDS = ["showDateTimeUtc", "showDateTimeLocal", "showDateTime", "startDateTime", "startTime", "startsAt", "start", "dateTime", "time"]
 ANCHOR_REACH = 12_000
+# A page without one of these has no heading block.
+HEADED = re.compile("(?i)<h[1-6]|/movies/")
 
 
 def walk(node: object, title: str | None = None) -> Iterator[tuple[str, str]]:
@@ -117,6 +119,93 @@ def regions(page: str) -> list[tuple[str, str, str]]:
     return p.rows
 
 
+class _Blocks(HTMLParser):
+    """Headings, movie links and clocks of a page in their order."""
+
+    TIME = re.compile(r"\d{1,2}:\d{2}\s*[ap]m", re.I)
+    RUNTIME = re.compile(r"\d+\s*hr?\s*\d+\s*min|\d+\s*min", re.I)
+    VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+    NO_TITLE = re.compile("showtimes|read more|amc stubs|excluded from a-list|reserved seating|details|trailer|movie theater|available at|fan faves|caption|subtitle|imax|dolby|laser at amc|prime at amc|reald|ticket", re.I)
+
+    DAY = re.compile(r"^(?:sat|sun|mon|tue|wed|thu|fri|jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)\b", re.I)
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.open, self.items = [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in self.VOID:
+            self.open.append({"tag": tag, "attrs": {k: v or "" for k, v in attrs}, "text": [], "movie": None, "clock": False})
+
+    def handle_data(self, data):
+        for e in self.open:
+            e["text"].append(data)
+
+    def handle_endtag(self, tag):
+        if any(e["tag"] == tag for e in self.open):
+            while self._close(self.open.pop()) != tag:
+                pass
+
+    def close(self):
+        super().close()
+        while self.open:
+            self._close(self.open.pop())
+
+    def _close(self, e) -> str:
+        """Notes what the element is; of nested elements with a clock the innermost counts, but a link or button before its parts."""
+        text, tag, href = " ".join(" ".join(e["text"]).split()), e["tag"], e["attrs"].get("href", "")
+        if tag in ("script", "style"):
+            return tag
+        heading = re.fullmatch("h[1-6]", tag)
+        if tag == "a" and text and re.search(r"/movies/[^/]+", href):
+            self.items.append(("movie", text))
+            for o in self.open:
+                if re.fullmatch("h[1-5]", o["tag"]):
+                    o["movie"] = o["movie"] or text
+        if heading and text:
+            self.items.append(("linked" if e["movie"] else "heading", e["movie"] or text))
+        clock = self.TIME.search(text)
+        within = any(o["tag"] in ("a", "button") for o in self.open)
+        named = re.search("showtime|session|time", " ".join(f"{k}={v}" for k, v in e["attrs"].items()), re.I)
+        if clock and not heading and not e["clock"] and not within and len(text) <= 120 and (tag in ("a", "button") or named or clock.start() == 0):
+            shown = re.search(r"/showtimes/(\w+)", href)
+            self.items.append(("clock", (shown.group(1) if shown else None, clock.group(0))))
+            for o in self.open:
+                o["clock"] = True
+        elif not heading and self.RUNTIME.search(text) and not e["clock"] and len(text) <= 120:
+            self.items.append(("runtime", text))
+        return tag
+
+
+def heading_blocks(page: str) -> list[tuple[str | None, str, str]]:
+    """(id, title, clock) of the clocks between a title and the next one.
+
+    Titles are headings with a movie link, else headings that may be a title
+    with a clock or running time before the next, else movie links.
+    """
+    p = _Blocks()
+    p.feed(page)
+    p.close()
+    items = p.items
+    kinds = {k for k, _ in items}
+    pick = "linked" if "linked" in kinds else "heading" if any(k == "heading" and _titled(items, i) for i, (k, _) in enumerate(items)) else "movie"
+    out, title = {}, None
+    for i, (kind, value) in enumerate(items):
+        if kind == pick and (kind != "heading" or _titled(items, i)):
+            title = value
+        elif kind == "clock" and title:
+            out[value[0], title, value[1]] = None
+    return list(out)
+
+
+def _titled(items: list, i: int) -> bool:
+    text = items[i][1]
+    if not 2 <= len(text) <= 160 or _Blocks.TIME.search(text) or _Blocks.RUNTIME.search(text) or _Blocks.NO_TITLE.search(text) or _Blocks.DAY.search(text) or not any(c.isalpha() for c in text):
+        return False
+    after = next((k for k, _ in items[i + 1 :] if k in ("clock", "runtime", "heading", "linked")), None)
+    return after in ("clock", "runtime")
+
+
 def metadata(page: str) -> dict[str, str | None]:
     """X11: the title by Open Graph, then the title element; picture; visible text is not read."""
     p = _Regions()
@@ -135,13 +224,16 @@ def showings(pages: DataFrame) -> DataFrame:
 
     A text filter that Spark can run goes before the parsers, which it can't look into.
     """
-    some = pages.where(F.col("html").isNotNull() & (F.col("html").contains("showtime") | F.col("html").contains("Showtimes") | F.col("html").contains("start")))
+    some = pages.where(F.col("html").isNotNull() & (F.col("html").contains("showtime") | F.col("html").contains("Showtimes") | F.col("html").contains("start") | F.col("html").rlike(HEADED.pattern)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for i, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                found = [(i, "rendered", *r) for r in regions(page)] + [(i, "flight", *r) for r in flight(page)]
+                shown = [(i, "rendered", *r) for r in regions(page)]
+                if not shown and HEADED.search(page):
+                    rows += [(i, "heading", *r) for r in heading_blocks(page)]
+                found = shown + [(i, "flight", *r) for r in flight(page)]
                 rows += found or [(i, "script", None, *r) for r in dict.fromkeys(scripts(page))]
             cols = list(zip(*rows)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *[pa.array(c, pa.string()) for c in cols[1:]]], ["page_id", "kind", "showing_id", "title", "time"])
@@ -180,3 +272,29 @@ def parse_blob(df: DataFrame, key: str, blob: str, escaped: bool = False) -> Dat
     rows = dated.select(key, "theatre", "show_date", F.explode(F.split("t", ", ")).alias("show_time"))
     plain = [(b, a) for a, b in reversed(ESCAPES)] if escaped else []
     return rows.select(key, _replaced(F.col("theatre"), plain).alias("theatre"), "show_date", _replaced(F.col("show_time"), plain).alias("show_time"))
+
+
+def claim_values(df: DataFrame, key: str, entity: str) -> DataFrame:
+    """(key, property, pos, value) of the claims of a JSON entity; malformed claims are skipped, objects stay JSON."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(k, *c) for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for c in flat_claims(x)]
+            cols = list(zip(*rows)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.string())], [key, "property", "pos", "value"])
+
+    return df.select(F.col(key).cast("bigint"), entity).mapInArrow(run, f"{key} bigint, property string, pos int, value string")
+
+
+def flat_claims(text: str | None) -> Iterator[tuple[str, int, str]]:
+    try:
+        claims = json.loads(text or "{}")["claims"].items()
+    except (ValueError, KeyError, TypeError, AttributeError):
+        return
+    for name, values in claims:
+        for pos, claim in enumerate(values if isinstance(values, list) else []):
+            try:
+                value = claim["mainsnak"]["datavalue"]["value"]
+            except (KeyError, TypeError):
+                continue
+            yield name, pos, value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
