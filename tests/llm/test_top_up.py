@@ -1,0 +1,8 @@
+from brightreel.llm import packing
+
+
+def test_buckets_form_batches_only_without_top_up():
+    histogram = {500: 3, 300: 7, 200: 9, 40: 20, 12: 31}
+    bounds = [[], [50, 512], [12, 200, 300, 512]]
+    assert len({str(packing.plan_batches(histogram, 512, b, True)) for b in bounds}) == 1
+    assert len({str(packing.plan_batches(histogram, 512, b, False)) for b in bounds}) == 3
