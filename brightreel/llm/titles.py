@@ -1,55 +1,33 @@
-"""Film titles as several hands write them: wording about the showing off, article, number and spelling apart."""
+"""Film titles as several hands write them: article, number of the sequel and spelling apart.
+
+Wording about the showing is no business of this module: ``wording`` learns it
+from the tables.
+"""
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from collections import defaultdict
+from collections.abc import Callable, Iterable
 from typing import NamedTuple
 
 from brightreel.llm.lookalike import normalise
 
-# Wording about the kind of showing, peeled from the ends until none is left.
-PREFIXES = [r"new!", r"now showing[:!-]?", r"kids (?:matinee|club) ?[-–—:]", r"staff picks? ?[-–—:]", r"[\w' ]{1,30} presents ?[-–—:]?", r"(?:special|advance) (?:screening|preview) ?[-–—:]"]
-_END = r" ?[-–—:(\[]* ?"
-_SHUT = r" ?[)\]]*"
-SUFFIXES = [
-    r"(?:with )?(?:live|cast|director|in-person)? ?q ?& ?a(?: with [\w .']+)?", r"(?:with )?(?:live|cast) q a", r"early access(?: with [\w .&']+| screening| event)?", r"sneak (?:peek|preview)",
-    r"sensory friendly(?: screening| film)?", r"open caption(?:ed|s)?(?: screening)?", r"closed caption(?:ed|s)?", r"subtitled", r"dubbed", r"sing-? ?along(?: version)?", r"fan event", r"opening night",
-    r"live event", r"double feature", r"encore(?: screening)?", r"(?:the )?imax experience", r"in (?:70|35) ?mm", r"in (?:imax|3d|dolby)", r"(?:70|35) ?mm", r"(?:4k |digital )?re-?master(?:ed)?", r"4k(?: restoration)?", r"re-?release",
-    r"\d{1,3}(?:st|nd|rd|th) anniversary(?: screening| edition)?", r"(?:18|19|20|21)\d\d (?:event|presentation|screening)", r"(?:event|presentation|screening) (?:18|19|20|21)\d\d",
-]
-_PREFIX = re.compile(rf"^(?:{'|'.join(PREFIXES)})\s*", re.I)
-_SUFFIX = re.compile(rf"(?<=\S){_END}(?<![^\W\d_])(?:{'|'.join(SUFFIXES)}){_SHUT}$", re.I)
-_PARENS = re.compile(r" ?[(\[](?:(?:18|19|20|21)\d\d|[A-Za-z]{2,4}\d{2,4})[)\]]$")
-_SERIES = re.compile(r" ?[-–—:] ?[^-–—:]{1,60}? (?:fest|festival|series|showcase)(?: (?:19|20)\d\d)?$", re.I)
-_YEAR = re.compile(r"[(\[]((?:18|19|20|21)\d\d)[)\]]")
-_EDGE = " \t-–—:,"
 ARTICLES = ("the", "a", "an")
 # Words and numerals of sequels.
 PART_WORDS = ("part", "chapter", "volume", "vol", "episode")
 NUMBERS = {"one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8, "nine": 9, "ten": 10}
 ROMAN = {"i": 1, "ii": 2, "iii": 3, "iv": 4, "v": 5, "vi": 6, "vii": 7, "viii": 8, "ix": 9, "x": 10}
 SMALL_WORDS = frozenset("the a an of and for in to with when met on at by from".split())
+#: Words up to this length find each other by deletions, longer ones by segments.
+LONG_WORD = 24
+_SEGMENTS = 5  # two swaps touch four segments at most
 
 
 class Title(NamedTuple):
     base: str  # words without leading or trailing article, separated by single spaces
     number: int  # of a sequel; 0 for none
-    year: int  # stated in brackets; 0 for none
-
-
-def undecorated(text: str) -> str:
-    """The title without wording about the showing; never empty."""
-    t = re.sub(r"\s+", " ", text).strip()
-    for _ in range(12):
-        new = t
-        for rx in (_PREFIX, _PARENS, _SUFFIX, _SERIES):
-            cut = rx.sub("", new).strip(_EDGE)
-            new = cut if re.search(r"\w", cut) else new
-        if new == t:
-            break
-        t = new
-    return t
 
 
 def plain(text: str) -> str:
@@ -86,7 +64,8 @@ def weighted_distance(a: str, b: str, most: float = 1e9) -> float:
     return row[-1]
 
 
-def _sequel(words: list[str]) -> tuple[list[str], int]:
+def sequel(words: list[str]) -> tuple[list[str], int]:
+    """The words before the number of a sequel, and the number (0 for none)."""
     if len(words) < 2:
         return words, 0
     last = words[-1]
@@ -103,22 +82,25 @@ def _sequel(words: list[str]) -> tuple[list[str], int]:
     return words[: -2 if part else -1], n
 
 
-def parse(text: str | None) -> Title:
-    """The parts of a title that tell films apart; a title without letters and digits has an empty base."""
+def parse(text: str | None, peel: Callable[[list[str]], list[str]] | None = None) -> Title:
+    """The parts of a title that tell films apart; a title without letters and digits has an empty base.
+
+    ``peel`` takes wording about the showing off the words of the title.
+    """
     if not text:
-        return Title("", 0, 0)
-    t = normalise(text)
-    year = _YEAR.search(t)
-    words = plain(undecorated(t)).split()
+        return Title("", 0)
+    words = plain(normalise(text)).split()
+    if peel:
+        words = peel(words)
     if len(words) > 1 and words[-1] in ARTICLES:
         words = words[:-1]
-    words, number = _sequel(words)
+    words, number = sequel(words)
     # "Wicked Pilgrim Part II, The" loses its article before its number, "Pilgrim, The 2" after it.
     if len(words) > 1 and words[-1] in ARTICLES:
         words = words[:-1]
     if len(words) > 1 and words[0] in ARTICLES:
         words = words[1:]
-    return Title(" ".join(words), number, int(year.group(1)) if year else 0)
+    return Title(" ".join(words), number)
 
 
 def reach(word: str) -> int:
@@ -133,3 +115,44 @@ def deletes(word: str, depth: int) -> set[str]:
         edge = {w[:i] + w[i + 1 :] for w in edge for i in range(len(w))}
         found |= edge
     return found
+
+
+def lookup_keys(word: str, listed: bool) -> set[str]:
+    """Keys of which a word of a list (``listed``) and an entered word within its reach share one.
+
+    Short words share a form with deletions. A long word would have too many:
+    the listed one is cut into segments of which two edits leave one whole,
+    and the entered one offers what may stand in each segment's place.
+    """
+    keys = deletes(word, reach(word)) if len(word) <= LONG_WORD + 2 else set()
+    if len(word) > LONG_WORD:
+        for n in (len(word),) if listed else range(len(word) - 2, len(word) + 3):
+            cuts = [n * k // _SEGMENTS for k in range(_SEGMENTS + 1)]
+            for k in range(_SEGMENTS):
+                size = cuts[k + 1] - cuts[k]
+                for shift in (0,) if listed else range(-2, 3):
+                    at = cuts[k] + shift
+                    if 0 <= at <= len(word) - size:
+                        keys.add(f"{n}|{k}|{word[at : at + size]}")
+    return keys
+
+
+class Dictionary:
+    """A symmetric-delete dictionary in memory, of words with their frequencies."""
+
+    def __init__(self, words: Iterable[tuple[str, int]]):
+        self.frequency = dict(words)
+        self.holders: dict[str, list[str]] = defaultdict(list)
+        for w in self.frequency:
+            for k in lookup_keys(w, True):
+                self.holders[k].append(w)
+
+    def near(self, word: str) -> list[tuple[float, int, str]]:
+        """(distance, -frequency, word of the list) of all within the reach, best first."""
+        hits = {w for k in lookup_keys(word, False) for w in self.holders.get(k, ())}
+        found = [(weighted_distance(word, w, 2.0), -self.frequency[w], w) for w in hits]
+        return sorted(x for x in found if within_reach(x[0], word, x[2]))
+
+
+def within_reach(distance: float, a: str, b: str) -> bool:
+    return distance <= min(2.0, max(reach(a), reach(b)))
