@@ -3,9 +3,11 @@
 Method: optimal length buckets. The global histogram of lengths (at most
 ``capacity`` entries, however many texts there are) goes to the driver;
 dynamic programming chooses the bucket boundaries with the least padding;
-token-budget batches form inside each bucket, longest texts first. A batch
-that the texts of its bucket cannot fill is topped up from shorter buckets
-(``top_up``): batches of one bucket alone would leave more room empty.
+token-budget batches form inside each bucket, from the longest bucket down:
+the texts of the bucket that fill the capacity best, by subset sums over its
+lengths. A batch that its bucket can't fill but for ``slack`` tokens is
+repacked: what is left over of a bucket takes the longest texts of shorter
+buckets that still fit.
 
 The plan names, per length, how many texts of it go to which sequences; it is
 as long as the number of different batches, which the histogram bounds. Each
@@ -24,7 +26,7 @@ an empty table gives no rows; further columns are ignored.
 from __future__ import annotations
 
 import base64
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +38,8 @@ from brightreel.session import cut, env_path, table
 
 CAPACITY = 2048
 BUCKETS = 32
+#: A batch of one bucket may leave a sequence short by so many tokens; others are repacked.
+SLACK = 2
 #: Rank file of a public tokenizer; a parameter, the file is not part of this repository.
 TOKENIZER = env_path("BRIGHTREEL_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 # Fixed value: the split pattern of that vocabulary.
@@ -95,31 +99,58 @@ def optimal_buckets(histogram: dict[int, int], buckets: int) -> list[int]:
     return sorted(bounds)
 
 
-def plan_batches(histogram: dict[int, int], capacity: int, bounds: list[int], top_up: bool = True) -> list[tuple[dict[int, int], int]]:
+def best_fill(left: dict[int, int], lengths: list[int], capacity: int) -> dict[int, int]:
+    """Texts per length, with one of the longest at least, that fill the capacity best; the fewest short ones."""
+    first = lengths[-1]
+    reached, steps = 1, []
+    mask = (1 << (capacity - first + 1)) - 1
+    for x in reversed(lengths):
+        n, part = min(left[x] - (x == first), (capacity - first) // x), 1
+        while n > 0:
+            use = min(part, n)
+            more = (reached << (use * x)) & mask & ~reached
+            if more:
+                steps.append((x, use, more))
+                reached |= more
+            n, part = n - use, part * 2
+        if reached >> (capacity - first) & 1:
+            break
+    at, need = reached.bit_length() - 1, {first: 1}
+    for x, use, new in reversed(steps):
+        if new >> at & 1:  # this sum was first reached with these texts
+            need[x] = need.get(x, 0) + use
+            at -= use * x
+    return need
+
+
+def plan_batches(histogram: dict[int, int], capacity: int, bounds: list[int], slack: int = 0) -> list[tuple[dict[int, int], int]]:
     """(texts per length, how many sequences like this): every text of the histogram, within the capacity."""
     left = {x: n for x, n in histogram.items() if n and 0 < x <= capacity}
     lengths = sorted(left)
-    bucket = {x: bisect_right(bounds, x - 1) for x in lengths}
     plan = []
-    while lengths:
-        first = lengths[-1]
-        room, need, taken = capacity, {}, 0
-        k = len(lengths)
-        while room and (k := bisect_right(lengths, room, 0, k)):
-            x = lengths[k - 1]
-            if not top_up and bucket[x] != bucket[first]:
-                break
-            use = min(left[x], room // x)
-            need[x] = use
-            room -= use * x
-            taken += use
-            k -= 1
+
+    def take(need: dict[int, int]) -> None:
         times = min(left[x] // n for x, n in need.items())
         plan.append((need, times))
         for x, n in need.items():
             left[x] -= n * times
             if not left[x]:
                 lengths.remove(x)
+
+    while lengths:
+        # The bucket of the longest length that is left.
+        low = bisect_left(bounds, lengths[-1]) - 1
+        own = lengths[bisect_right(lengths, bounds[low] if low >= 0 else 0) :]
+        need = best_fill(left, own, capacity)
+        room = capacity - sum(x * n for x, n in need.items())
+        if room > slack:
+            k = bisect_left(lengths, own[0])
+            while room and (k := bisect_right(lengths, room, 0, k)):
+                x = lengths[k - 1]
+                need[x] = min(left[x], room // x)
+                room -= need[x] * x
+                k -= 1
+        take(need)
     return plan
 
 
@@ -136,7 +167,7 @@ def _lookup(plan: list[tuple[dict[int, int], int]]) -> tuple[dict[int, tuple[np.
     return {x: tuple(np.array(c, np.int64) for c in zip(*v)) for x, v in at.items()}, sequence
 
 
-def pack(df: DataFrame, id_column: str, text_column: str, capacity: int = CAPACITY, buckets: int = BUCKETS, tokenizer: str = TOKENIZER, top_up: bool = True) -> DataFrame:
+def pack(df: DataFrame, id_column: str, text_column: str, capacity: int = CAPACITY, buckets: int = BUCKETS, tokenizer: str = TOKENIZER, slack: int = SLACK) -> DataFrame:
     """(id, piece, start_token, n_tokens, sequence_id): the sequence of each text or piece."""
     counts = token_counts(df, id_column, text_column, tokenizer)
     pieces = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("n_tokens") / capacity))
@@ -147,7 +178,7 @@ def pack(df: DataFrame, id_column: str, text_column: str, capacity: int = CAPACI
     per_part = each.groupBy("part", "n_tokens").agg(F.count(F.lit(1)).alias("n"))
     histogram = {r[0]: r[1] for r in per_part.groupBy("n_tokens").agg(F.sum("n")).collect()}  # at most capacity + 1 rows
     bounds = optimal_buckets({x: n for x, n in histogram.items() if x}, buckets)
-    lookup, _ = _lookup(plan_batches(histogram, capacity, bounds, top_up))
+    lookup, _ = _lookup(plan_batches(histogram, capacity, bounds, slack))
     before = per_part.select("part", "n_tokens", (F.sum("n").over(Window.partitionBy("n_tokens").orderBy("part")) - F.col("n")).alias("before"))
     ranked = each.withColumn("rank", F.row_number().over(Window.partitionBy("part", "n_tokens").orderBy("id", "piece")))
     ranked = ranked.join(before, ["part", "n_tokens"]).select("id", "piece", "start_token", "n_tokens", (F.col("before") + F.col("rank") - 1).alias("rank"))
