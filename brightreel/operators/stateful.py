@@ -47,3 +47,23 @@ def provenance(wanted: DataFrame, keys: list[str], live: DataFrame, third: DataF
         out = out.join(side.groupBy(*keys).agg(F.max("fetched_on").alias(name)), keys, "left")
     source = F.when(F.col("live").isNotNull(), "live").when(F.col("third").isNotNull(), "third").when(F.col("cached").isNotNull(), "cached").otherwise("unknown")
     return out.select(*keys, F.coalesce("live", "third", "cached").alias("fetched_on"), source.alias("source"))
+
+
+def circuit_opens(tries: DataFrame, key: str, order: list[str], grid: int, most: int = 8) -> DataFrame:
+    """The failures of ``tries`` (failed, explicit, place, day) with ``opens``, for keys whose ``grid`` of combinations was tried whole.
+
+    A success ends a streak; of a streak the last ``most`` failures count. The
+    circuit opens if the last three are explicit, of three combinations, over
+    two places and two days at least, or if four or more are over as many; not
+    before every combination has been tried.
+    """
+    w = Window.partitionBy(key).orderBy(*order)
+    s = tries.withColumn("seen", F.row_number().over(w)).withColumn("island", F.sum(F.when(F.col("failed"), 0).otherwise(1)).over(w))
+    first = s.groupBy(key, "place", "day").agg(F.min("seen").alias("at"))
+    probed = first.groupBy(key).agg(F.max("at").alias("full_at"), F.count(F.lit(1)).alias("n")).where(F.col("n") == grid).select(key, "full_at")
+    last = F.collect_list(F.struct("place", "day", "explicit")).over(Window.partitionBy(key, "island").orderBy(*order).rowsBetween(1 - most, 0))
+    f = s.where("failed").withColumn("w", last).withColumn("r", F.slice("w", F.greatest(F.lit(1), F.size("w") - 2), F.lit(3)))
+    kinds = lambda a, x: F.size(F.array_distinct(F.transform(a, x)))
+    wide = lambda a: (kinds(a, lambda x: x["place"]) >= 2) & (kinds(a, lambda x: x["day"]) >= 2)
+    three = (F.size("r") == 3) & F.forall("r", lambda x: x["explicit"]) & (kinds("r", lambda x: F.struct(x["place"], x["day"])) == 3) & wide("r")
+    return f.join(probed, key).withColumn("opens", (F.col("seen") >= F.col("full_at")) & (three | ((F.size("w") >= 4) & wide("w"))))

@@ -79,7 +79,7 @@ def q_stable_samples(t):
 o AS (SELECT o_custkey, min(o_orderdate) AS first_seen FROM a WHERE run = 'old' AND version >= 27 GROUP BY 1), n AS (SELECT o_custkey, min(o_orderdate) AS now_seen, count(*) AS n FROM a WHERE run = 'new' GROUP BY 1)
 SELECT n.o_custkey, coalesce(first_seen, now_seen) AS dated, first_seen IS NOT NULL AS carried, n FROM n LEFT JOIN o USING (o_custkey)""")
 def q_state_versions(t):
-    """Earlier state of a trusted version keeps its date; the rest is dated anew."""
+    """Earlier state of a trusted version keeps its date; the rest is dated anew."""
     a = t.orders.select("o_custkey", "o_orderdate", (F.col("o_orderkey") % 2 == 0).alias("old"), F.when(F.col("o_orderpriority").like("1%"), 26).otherwise(27).alias("version"))
     o = a.where("old and version >= 27").groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_seen"))
     n = a.where("not old").groupBy("o_custkey").agg(F.min("o_orderdate").alias("now_seen"), F.count(F.lit(1)).alias("n"))

@@ -1,4 +1,4 @@
-"""Queries of joins, matching, vetoes and planning: J*, P*, L*, Q*, S2."""
+"""Queries of joins, matching, vetoes and planning: J*, P*, L*, Q*."""
 
 from __future__ import annotations
 
@@ -100,7 +100,7 @@ def q_anti_missing(t):
 @query("""WITH c AS (SELECT 25 AS nt, 5 AS nd, (date_diff('day', DATE '1970-01-01', DATE '2026-02-14') + 719163) % 125 AS phase)
 SELECT r, p, (p + phase % nt) % nt AS place, (p + r + phase // nt) % nd AS day, row_number() OVER (ORDER BY r, p) AS ordinal FROM c, unnest(range(0, 5)) AS a(r), unnest(range(0, 25)) AS b(p)""")
 def q_grid_rotation(t):
-    """Balanced rotation of a grid of places and days."""
+    """Balanced rotation of a grid of places and days."""
     nt, nd = 25, 5
     phase = F.pmod(F.unix_date(F.lit("2026-02-14").cast("date")) + 719163, F.lit(nt * nd)).cast("bigint")
     g = t.spark.range(nt * nd).select(F.expr(f"id div {nt}").alias("r"), F.expr(f"id % {nt}").alias("p"), (F.col("id") + 1).alias("ordinal"))
@@ -111,7 +111,7 @@ def q_grid_rotation(t):
 SELECT a.page_id, b.page_id AS other_id, CASE WHEN a.imdb_id = b.imdb_id THEN 'same id' WHEN a.imdb_id IS NOT NULL AND b.imdb_id IS NOT NULL THEN 'other id' WHEN abs(a.runtime_min - b.runtime_min) <= 3 THEN 'same runtime' ELSE 'unknown' END AS verdict
 FROM l a JOIN l b ON lower(a.title) = lower(b.title) WHERE a.page_id < b.page_id""")
 def q_continuity_match(t):
-    """Identity of two records of one title: equal id, else unequal ids, else runtime."""
+    """Identity of two records of one title: equal id, else unequal ids, else runtime."""
     a = t.letterboxd_page.select("page_id", F.lower("title").alias("k"), "imdb_id", "runtime_min")
     b = a.select(F.col("page_id").alias("other_id"), "k", F.col("imdb_id").alias("i2"), F.col("runtime_min").alias("r2"))
     v = F.when(F.col("imdb_id") == F.col("i2"), "same id").when(F.col("imdb_id").isNotNull() & F.col("i2").isNotNull(), "other id").when(F.abs(F.col("runtime_min") - F.col("r2")) <= 3, "same runtime").otherwise("unknown")
@@ -120,7 +120,7 @@ def q_continuity_match(t):
 
 @query("""SELECT n_name, count(*) AS n_lines, count(DISTINCT o_orderkey) AS n_orders FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE l_returnflag = 'R' GROUP BY 1""")
 def q_id_bridge(t):
-    """Batched lookups as joins; a chain of key joins from line to nation, each verified by equality."""
+    """Batched lookups as joins; a chain of key joins from line to nation, each verified by equality."""
     l = t.lineitem.where("l_returnflag = 'R'").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
     j = l.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return j.groupBy("n_name").agg(F.sum("n").alias("n_lines"), F.count(F.lit(1)).alias("n_orders"))
@@ -141,7 +141,7 @@ def q_veto_filter(t):
 @query(f"""SELECT context_id, page_id, release_year IS NOT NULL AND expected_year IS NOT NULL AND abs(expected_year - release_year) <= 1 OR release_year IS NULL AND coalesce(abs(m.runtime_min - p.runtime_min) <= 20, false) AS strict,
 coalesce(abs(expected_year - release_year) <= 3, true) AND (m.relax_runtime OR coalesce(abs(m.runtime_min - p.runtime_min) <= 20, true)) AS lenient FROM movie_context m JOIN letterboxd_page p ON {KEY.format('canonical_title')} = {KEY.format('title')}""")
 def q_accept_gate(t):
-    """A lenient gate, and a strict one in which the unknown rejects."""
+    """A lenient gate, and a strict one in which the unknown rejects."""
     m = t.movie_context.select("context_id", text.literal_key(F.col("canonical_title")).alias("k"), "expected_year", "runtime_min", "relax_runtime")
     p = t.letterboxd_page.select("page_id", text.literal_key(F.col("title")).alias("k"), "release_year", F.col("runtime_min").alias("r2"))
     dy, dr = F.abs(F.col("expected_year") - F.col("release_year")), F.abs(F.col("runtime_min") - F.col("r2"))
@@ -163,7 +163,7 @@ def q_reason_cascade(t):
 
 @query("""SELECT p_name, arg_min(p_partkey, (tier, -p_size, p_partkey)) AS chosen, min(tier) AS tier FROM (SELECT *, CASE WHEN p_type = 'ECONOMY' THEN 1 WHEN p_size > 40 THEN 2 ELSE 3 END AS tier FROM part) GROUP BY 1""")
 def q_tiered_fallback(t):
-    """The best of the first tier that has any."""
+    """The best of the first tier that has any."""
     tier = F.when(F.col("p_type") == "ECONOMY", 1).when(F.col("p_size") > 40, 2).otherwise(3)
     p = t.part.withColumn("tier", tier)
     return p.groupBy("p_name").agg(F.min_by("p_partkey", F.struct("tier", (-F.col("p_size")).alias("s"), "p_partkey")).alias("chosen"), F.min("tier").alias("tier"))
@@ -181,7 +181,7 @@ def q_alias_redirect(t):
 k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY cost, day) AS rn FROM u)
 SELECT a.user_id, min(a.cost + b.cost + 100) AS plan_cost FROM k a JOIN k b ON a.user_id = b.user_id AND a.day < b.day WHERE a.rn <= 10 AND b.rn <= 10 GROUP BY 1""")
 def q_plan_partitions(t):
-    """Best candidate per day, ten per member, two groups on distinct days at least cost."""
+    """Best candidate per day, ten per member, two groups on distinct days at least cost."""
     u = t.events.where("event_type = 'purchase'").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.min(F.round(F.col("value") * 100).cast("bigint")).alias("cost"))
     k = u.withColumn("rn", F.row_number().over(Window.partitionBy("user_id").orderBy("cost", "day"))).where("rn <= 10").drop("rn")
     b = k.select("user_id", F.col("day").alias("d2"), F.col("cost").alias("c2"))
@@ -191,7 +191,7 @@ def q_plan_partitions(t):
 @query("""SELECT event_type, CASE WHEN n_ids < 2 OR n_ids > 4 THEN 'pick 2 to 4' WHEN usable = 0 THEN 'nothing usable' ELSE 'ok' END AS message, usable, best FROM (SELECT event_type, count(DISTINCT user_id % 5) AS n_ids, count(*) FILTER (WHERE value > 20) AS usable,
 min(CASE WHEN value > 20 THEN 1000 * (CASE WHEN event_type = 'click' THEN 0 ELSE 1 END) + 100 * (user_id % 3) + hour(ts) * 60 + minute(ts) END) AS best FROM events GROUP BY 1)""")
 def q_plan_single(t):
-    """Usable rows, ranks, least cost, validation messages."""
+    """L3: usable rows, ranks, least cost, validation messages."""
     cost = 1000 * F.when(F.col("event_type") == "click", 0).otherwise(1) + 100 * (F.col("user_id") % 3) + F.hour("ts") * 60 + F.minute("ts")
     g = t.events.groupBy("event_type").agg(F.countDistinct(F.col("user_id") % 5).alias("n_ids"), F.count_if(F.col("value") > 20).alias("usable"), F.min(F.when(F.col("value") > 20, cost)).alias("best"))
     return g.select("event_type", F.when(~F.col("n_ids").between(2, 4), "pick 2 to 4").when(F.col("usable") == 0, "nothing usable").otherwise("ok").alias("message"), "usable", "best")
@@ -206,6 +206,6 @@ def q_guard_report(t):
 
 @query("""SELECT context_id, display_title, regexp_full_match(lower(trim(display_title)), '(private (theater|theatre) rental|gift card weekend|trivia night|mystery screening).*') AS not_film FROM movie_context WHERE display_title IS NOT NULL AND lower(display_title) NOT LIKE '%lobby%'""")
 def q_inventory_filter(t):
-    """Inventory that is no film by full match, ignored members by substring."""
+    """Inventory that is no film by full match, ignored members by substring."""
     m = t.movie_context.where("display_title is not null and lower(display_title) not like '%lobby%'")
     return m.select("context_id", "display_title", F.lower(F.trim("display_title")).rlike("^(?:private (?:theater|theatre) rental|gift card weekend|trivia night|mystery screening).*$").alias("not_film"))

@@ -1,4 +1,4 @@
-"""Queries of text, time and extraction functions: F*, X*, P1-P3, P8, P12, P13, P18-P23, C*."""
+"""Queries of text, time and extraction functions: F*, X*, P3, P5, P12, P13, P18, P22, P23, C7, C8."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ MATCH = "trim(regexp_replace(regexp_replace(' ' || " + LIT + " || ' ', ' (?:the|
 {LIT.format("regexp_replace(display_title, '\\s*\\((?:[^()]*\\b(?:film|movie)|\\d{4})\\)\\s*$', '', 'i')")} AS identity, trim(regexp_replace(lower(display_title), '[^a-z0-9]+', '-', 'g'), '-') AS slug,
 CASE WHEN length(display_title) > 40 THEN substring(display_title, 1, 37) || '...' ELSE display_title END AS short FROM title_info""")
 def q_normalise_text(t):
-    """Text keys."""
+    """Text keys."""
     d = F.col("display_title")
     return t.title_info.select("title_row", text.collapse(d).alias("collapsed"), text.literal_key(d).alias("literal"), text.match_key(d).alias("matching"), text.identity_key(d).alias("identity"), text.slug(d).alias("slug"), text.truncate(d).alias("short"))
 
@@ -59,27 +59,27 @@ def q_claims_flatten(t):
 k AS (SELECT ingest_seq, CASE WHEN ok AND h BETWEEN 1 AND 12 AND m <= 59 THEN h % 12 * 60 + m + CASE WHEN pm THEN 720 ELSE 0 END ELSE 1000000000 END AS minutes FROM c)
 SELECT ingest_seq, minutes, CASE WHEN minutes < 1440 THEN CAST(CASE WHEN minutes // 60 % 12 = 0 THEN 12 ELSE minutes // 60 % 12 END AS VARCHAR) || ':' || lpad(CAST(minutes % 60 AS VARCHAR), 2, '0') || CASE WHEN minutes // 60 < 12 THEN ' am' ELSE ' pm' END END AS clock FROM k""")
 def q_clock_keys(t):
-    """Minutes of a clock text, sorted last where there is none, and its canonical form."""
+    """Minutes of a clock text, sorted last where there is none, and its canonical form."""
     k = t.showtime.select("ingest_seq", text.clock_minutes(F.col("show_time")).alias("minutes"))
     return k.withColumn("clock", F.when(F.col("minutes") < 1440, text.clock_key(F.col("minutes"))))
 
 
 @query("""SELECT film_id, CAST(runtimeMin // 60 AS VARCHAR) || 'h ' || CAST(runtimeMin % 60 AS VARCHAR) || 'm' AS runtime, runtimeMin AS again FROM films""")
 def q_runtime_format(t):
-    """Minutes to text and back."""
+    """Minutes to text and back."""
     r = t.films.select("film_id", text.runtime_text(F.col("runtimeMin")).alias("runtime"))
     return r.withColumn("again", text.runtime_minutes(F.col("runtime")))
 
 
 @query("""SELECT context_id, CASE WHEN expected_year IS NOT NULL OR runtime_min IS NOT NULL THEN coalesce(CAST(expected_year AS VARCHAR), '-') || '/' || coalesce(CAST(runtime_min AS VARCHAR), '-') END AS pair, round_even(runtime_min / 8.0, 1) AS eighth FROM movie_context""")
 def q_score_pair(t):
-    """Pair with a dash for the missing side; half-even rounding."""
+    """pair with a dash for the missing side; half-even rounding."""
     return t.movie_context.select("context_id", text.score_pair(F.col("expected_year"), F.col("runtime_min")).alias("pair"), F.bround(F.col("runtime_min") / 8.0, 1).alias("eighth"))
 
 
 @query(r"""SELECT page_id, regexp_extract(url, '^https?://([^/]+)', 1) AS host, regexp_extract(url, '/film/([^/]+)/', 1) AS film, tmdb_url IS NOT NULL AS linked, coalesce(regexp_matches(lower(poster_url), 'placeholder|default|missing'), false) OR poster_url IS NULL AS no_poster, url LIKE '%/film/%' AS is_film FROM letterboxd_page""")
 def q_url_parts(t):
-    """Host, path, kinds of links, unusable pictures."""
+    """Host, path, kinds of links, unusable pictures."""
     u = F.col("url")
     return t.letterboxd_page.select("page_id", F.parse_url(u, F.lit("HOST")).alias("host"), F.regexp_extract(u, "/film/([^/]+)/", 1).alias("film"), F.col("tmdb_url").isNotNull().alias("linked"),
                                    (F.coalesce(F.lower("poster_url").rlike("placeholder|default|missing"), F.lit(False)) | F.col("poster_url").isNull()).alias("no_poster"), u.like("%/film/%").alias("is_film"))
@@ -95,7 +95,7 @@ def q_weekend_dates(t):
 
 @query("""SELECT event_id, strftime(timezone('America/Los_Angeles', timezone('UTC', ts)), '%Y-%m-%d %H:%M:%S') AS local, CAST(hour(timezone('America/Los_Angeles', timezone('UTC', ts))) * 60 + minute(timezone('America/Los_Angeles', timezone('UTC', ts))) AS INT) AS minutes FROM events""")
 def q_local_time(t):
-    """UTC to local date, clock and minutes."""
+    """UTC to local date, clock and minutes."""
     local = F.convert_timezone(F.lit("UTC"), F.lit("America/Los_Angeles"), F.col("ts"))
     return t.events.select("event_id", local.alias("l")).select("event_id", F.date_format("l", "yyyy-MM-dd HH:mm:ss").alias("local"), (F.hour("l") * 60 + F.minute("l")).alias("minutes"))
 
@@ -132,7 +132,7 @@ SELECT doc_id, length(line) BETWEEN 2 AND 160 AND NOT regexp_matches(lower(line)
 length(line) <= 90 AND len(string_split(line, ' ')) <= 10 AND regexp_matches(lower(line), '(dubbed|laser|caption|subtitled)') AS label_like,
 regexp_matches(lower(text), '(access denied|are you a human|queue|captcha)') AS blocked FROM f JOIN documents USING (doc_id)""")
 def q_title_like(t):
-    """Text that may be a title, a label, a page that blocks."""
+    """Text that may be a title, a label, a page that blocks."""
     f = t.documents.where("text is not null").select("doc_id", "text", F.trim(F.split("text", "\n")[0]).alias("line"))
     low = F.lower("line")
     title = F.length("line").between(2, 160) & ~low.rlike(r"^\d{1,2}:\d{2}") & ~low.rlike("(refund|barcode|confirmation)") & F.col("line").rlike("[A-Za-z]")
@@ -147,7 +147,7 @@ RULES = [("kids", "sing-?along|cartoon|lullaby"), ("music", "score|ensemble|orch
 h AS (SELECT doc_id, pos, tag FROM documents JOIN r ON regexp_matches(lower(text), rx)), g AS (SELECT doc_id, string_agg(tag, '|' ORDER BY pos) AS tags, count(*) AS n FROM h GROUP BY 1)
 SELECT d.doc_id, coalesce(tags, 'General') AS tags, coalesce(n, 0) AS n_reasons FROM documents d LEFT JOIN g USING (doc_id)""")
 def q_multilabel_tags(t):
-    """A table of rules against texts; ordered tags, a default where none applies. One pass, no join."""
+    """A table of rules against texts; ordered tags, a default where none applies. One pass, no join."""
     hits = F.filter(F.array(*[F.when(F.lower("text").rlike(rx), F.lit(tag)) for tag, rx in RULES]), lambda x: x.isNotNull())
     return t.documents.select("doc_id", hits.alias("h")).select("doc_id", F.when(F.size("h") > 0, F.array_join("h", "|")).otherwise("General").alias("tags"), F.size("h").cast("bigint").alias("n_reasons"))
 
@@ -155,7 +155,7 @@ def q_multilabel_tags(t):
 @query("""WITH a AS (SELECT doc_id, source, CASE WHEN regexp_matches(lower(text), 'detective|murder') THEN 'mystery' END AS tag FROM documents),
 b AS (SELECT source, max(tag) AS tag FROM a GROUP BY 1) SELECT a.doc_id, coalesce(a.tag, b.tag, 'General') AS tag, a.tag IS NULL AND b.tag IS NOT NULL AS second_pass FROM a LEFT JOIN b ON a.source = b.source""")
 def q_two_pass_enrich(t):
-    """Context is asked only where the first pass found nothing."""
+    """Context is asked only where the first pass found nothing."""
     a = t.documents.select("doc_id", "source", F.when(F.lower("text").rlike("detective|murder"), "mystery").alias("tag"))
     b = a.groupBy("source").agg(F.max("tag").alias("other"))
     return a.join(b, "source", "left").select("doc_id", F.coalesce("tag", "other", F.lit("General")).alias("tag"), (F.col("tag").isNull() & F.col("other").isNotNull()).alias("second_pass"))
@@ -167,7 +167,7 @@ b AS (SELECT title_row, d, regexp_replace(s, ' ?:? ?\(?(\d+)(?:st|nd|rd|th) Anni
 SELECT title_row, trim(s, ' ') AS canonical, try_cast(nullif(n, '') AS INT) AS anniversary, try_cast(nullif(regexp_extract(d, '\((\d{4}) Event\)', 1), '') AS INT) AS event_year, try_cast(nullif(regexp_extract(s, '\((\d{4})\)$', 1), '') AS INT) AS explicit_year,
 CASE WHEN 2026 - try_cast(nullif(n, '') AS INT) BETWEEN 1888 AND 2026 THEN 2026 - try_cast(nullif(n, '') AS INT) END AS inferred FROM b""")
 def q_suffix_peel(t):
-    """Wording peeled from a title in stages, and its years; the reference year is a parameter."""
+    """Wording peeled from a title in stages of its own, once; q_title_analysis peels to a fixpoint."""
     suffix = r" ?[-–:]? ?(\[Subtitled\]|\(Dubbed\)|Open Caption|Sing-Along|Fan Event|Opening Night|Encore|4K Remaster|in 70mm|with Live Q&A|Early Access( with Cast Q&A)?|Sensory Friendly Screening)$"
     d = t.title_info.where("display_title is not null").select("title_row", F.col("display_title").alias("d"))
     a = d.withColumn("s", F.regexp_replace(F.regexp_replace("d", r"^(NEW! |Staff Pick: |Kids Matinee - )", ""), suffix, ""))
@@ -180,7 +180,7 @@ def q_suffix_peel(t):
 
 @query(r"""WITH f AS (SELECT film_id, title FROM films), v AS (SELECT film_id, unnest([title, replace(title, '''', '’'), replace(title, '&', 'and'), regexp_replace(title, ' and ', ' & ', 'g'), title || ' (film)', title || ' (2026)', title || ' (2025)']) AS variant FROM f) SELECT DISTINCT film_id, variant FROM v""")
 def q_candidate_variants(t):
-    """Spellings of a title, distinct."""
+    """Spellings of a title, distinct; q_title_variants has all of them."""
     c = F.col("title")
     v = F.array_distinct(F.array(c, F.replace(c, F.lit("'"), F.lit("’")), F.replace(c, F.lit("&"), F.lit("and")), F.replace(c, F.lit(" and "), F.lit(" & ")), F.concat(c, F.lit(" (film)")), F.concat(c, F.lit(" (2026)")), F.concat(c, F.lit(" (2025)"))))
     return t.films.select("film_id", F.explode(v).alias("variant"))
@@ -189,7 +189,7 @@ def q_candidate_variants(t):
 @query("""WITH b AS (SELECT venue_row, [name, short, website] AS cells FROM venues), c AS (SELECT venue_row, i, cells[i] AS cell, 10 * (CASE WHEN lower(cells[i]) LIKE '%orbis%' THEN 1 ELSE 0 END) + 5 * len(regexp_extract_all(cells[i], '[0-9]+')) AS score FROM b, unnest([1, 2, 3]) AS u(i) WHERE cells[i] IS NOT NULL)
 SELECT venue_row, arg_max(cell, (score, -i)) AS best, CAST(arg_max(i, (score, -i)) - 1 AS INT) AS place FROM c GROUP BY 1""")
 def q_best_cell(t):
-    """The cell with the best score, the first wins a tie."""
+    """The cell with the best score, the first wins a tie."""
     cells = F.transform(F.array("name", "short", "website"), lambda x, i: F.struct((F.when(F.lower(x).contains("orbis"), 10).otherwise(0) + 5 * F.size(F.regexp_extract_all(x, F.lit("[0-9]+"), F.lit(0)))).alias("score"), (-i).alias("i"), x.alias("cell")))
     best = F.array_max(F.filter(cells, lambda x: x["cell"].isNotNull()))
     return t.venues.select("venue_row", best.alias("b")).where("b is not null").select("venue_row", "b.cell", (-F.col("b.i")).alias("place")).withColumnRenamed("cell", "best")
