@@ -26,13 +26,14 @@ def ranked_merge(df: DataFrame, key: str, rank: str, seq: str, best: list[str],
     aggs = [F.max_by(c, F.struct(rank, seq)).alias(c) for c in best]
     aggs += [F.min_by(c, F.when(F.col(c).isNotNull(), F.col(seq))).alias(c) for c in first_known]
     aggs += [F.bool_or(F.coalesce(F.col(c), F.lit(False))).alias(c) for c in any_true]
-    parts = [_union_of_parts(c, seq).alias(c) for c in joined]
-    return df.groupBy(key).agg(*aggs, *parts, F.count(F.lit(1)).alias("n_rows"))
-
-
-def _union_of_parts(column: str, seq: str) -> Column:
-    rows = F.array_sort(F.collect_set(F.when(F.col(column).isNotNull(), F.struct(F.col(seq).alias("s"), F.col(column).alias("v")))))
-    return F.array_join(F.array_distinct(F.flatten(F.transform(rows, lambda x: F.transform(F.split(x["v"], ";"), lambda p: F.trim(p))))), "; ")
+    out = df.groupBy(key).agg(*aggs, F.count(F.lit(1)).alias("n_rows"))
+    for c in joined:
+        # First each part by its first place, so that a key carries its different parts, not its rows.
+        each = df.where(F.col(c).isNotNull()).select(key, F.col(seq).alias("_s"), F.posexplode(F.split(c, ";")).alias("_i", "_p"))
+        parts = each.groupBy(key, F.trim("_p").alias("_p")).agg(F.min(F.struct("_s", "_i")).alias("_at"))
+        union = parts.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_p"))), lambda x: x["_p"]), "; ").alias(c))
+        out = out.join(union, key, "left").withColumn(c, F.coalesce(c, F.lit("")))
+    return out
 
 
 def first_known(value: str, seq: str) -> Column:

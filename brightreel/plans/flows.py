@@ -69,10 +69,10 @@ def q_likeness(t):
     return a.join(like, "x").join(b, "y").select("context_id", "film_id", "ratio", "token_set", "sequence")
 
 
-@query("""SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, event_type, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events GROUP BY 1, 2""")
+@query("""SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, event_type, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events GROUP BY date_trunc('hour', ts), event_type HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""")
 def q_stream_hourly(t):
-    """Windowed counts with a watermark over a file stream, run to its end."""
-    out = recent.run_available(recent.hourly(recent.event_stream(t.spark, t.sf_dir)), "complete")
+    """Windowed counts over a file stream, each hour written once, when the watermark has passed it; later rows are turned away."""
+    out = recent.run_available(recent.hourly(recent.event_stream(t.spark, t.sf_dir)))
     return out.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("hour"), "event_type", "n", "cents")
 
 

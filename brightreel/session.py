@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoints go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -35,13 +40,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share (spark.checkpoint.dir).
 
-    Only where the session names none (tests on one machine) a temporary
-    folder is made and set.
+    Only where the session names none, and all runs on one machine (tests), a
+    temporary folder is made, and removed at the end; a cluster must name one.
     """
     sc = spark.sparkContext
     at = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         at = tempfile.mkdtemp(prefix="brightreel-checkpoint-")
+        atexit.register(shutil.rmtree, at, ignore_errors=True)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(at)
     return at

@@ -20,7 +20,7 @@ def event_stream(spark: SparkSession, folder: str, name: str = "events.parquet",
 
 
 def hourly(stream: DataFrame, late: str = "2 hours") -> DataFrame:
-    """Counts per hour and type; rows later than ``late`` are turned away by the watermark."""
+    """Counts per hour and type, of hours that are over by more than ``late``; rows that come later still are turned away."""
     s = stream.withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", late)
     return s.groupBy(F.window("at", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("cents"))
 
@@ -42,18 +42,10 @@ def breaker(stream: DataFrame, failure: str = "error", threshold: int = 3) -> Da
     return stream.groupBy("user_id").applyInPandasWithState(step, "user_id bigint, opened_at timestamp_ntz", "streak int", "append", GroupStateTimeout.NoTimeout)
 
 
-def run_available(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """Runs a stream over what is there now and returns its result, written to the shared folder."""
+def run_available(stream: DataFrame) -> DataFrame:
+    """Runs an appending stream over what is there now and returns its result, written to the shared folder."""
     spark = stream.sparkSession
     at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    if mode == "append":
-        q = stream.writeStream.outputMode("append").format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
-        q.awaitTermination()
-        return spark.read.schema(stream.schema).parquet(f"{at}/out")
-
-    def keep(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{at}/out")
-
-    q = stream.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
+    q = stream.writeStream.outputMode("append").format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{at}/out")
