@@ -34,8 +34,13 @@ CYRILLIC = "АВЕЅІЈКМНОРСТХУԚԜаеорсухѕіјһԁԛԝ"
 CYRILLIC_TWIN = "ABESIJKMHOPCTXYQWaeopcyxsijhdqw"
 GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαικνορυϲ"
 GREEK_TWIN = "ABEZHIKMNOPTYXaikvopuc"
-# Hyphens and marks that look like a plain one.
-PLAIN = {"‐": "-", "‑": "-", "­": "", "ʼ": "'"}
+ARMENIAN = "ԼՍՏՕհոսցօ"
+ARMENIAN_TWIN = "LUSOhnugo"
+CHEROKEE = "ᎪᏴᏟᎠᎬᏀᎻᎫᏦᏞᎷᏢᎡᏚᎢᏙᎳᏃ"
+CHEROKEE_TWIN = "ABCDEGHJKLMPRSTVWZ"
+SCRIPTS = {"CYRILLIC", "GREEK", "ARMENIAN", "CHEROKEE"}
+# A letter of phonetics, hyphens and marks that look like a plain one.
+PLAIN = {"ɡ": "g", "‐": "-", "‑": "-", "­": "", "ʼ": "'"}
 INVISIBLE = [0x034F, 0x061C, 0x180E, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2070), 0xFEFF]
 JOINERS = "‌‍"
 
@@ -43,7 +48,7 @@ JOINERS = "‌‍"
 def _twins() -> tuple[dict[str, str], dict[str, str]]:
     """(look-alike -> Latin letter, look-alike -> script)."""
     pairs, script = {}, {}
-    for name, letters, twins in (("CYRILLIC", CYRILLIC, CYRILLIC_TWIN), ("GREEK", GREEK, GREEK_TWIN)):
+    for name, letters, twins in (("CYRILLIC", CYRILLIC, CYRILLIC_TWIN), ("GREEK", GREEK, GREEK_TWIN), ("ARMENIAN", ARMENIAN, ARMENIAN_TWIN), ("CHEROKEE", CHEROKEE, CHEROKEE_TWIN)):
         if len(letters) != len(twins):
             raise ValueError(f"the list of {name} look-alikes is out of step")
         for a, b in zip(letters, twins):
@@ -101,6 +106,10 @@ def _script(c: str) -> str:
         return "GREEK"
     if 0x400 <= cp < 0x530:
         return "CYRILLIC"
+    if 0x530 <= cp < 0x590:
+        return "ARMENIAN"
+    if 0x13A0 <= cp < 0x1400:
+        return "CHEROKEE"
     return "OTHER"
 
 
@@ -117,7 +126,7 @@ def _wide(c: str) -> bool:
 def _word(word: str, own: set[str], latin: bool) -> str:
     scripts = {_script(c) for c in word if c not in TWIN} - {""}
     seen = {SCRIPT[c] for c in word if c in TWIN}
-    real = scripts & {"CYRILLIC", "GREEK"}
+    real = scripts & SCRIPTS
     if real:
         if "LATIN" in scripts and len(real) == 1:  # a Latin look-alike in a word of another script
             back = {TWIN[c]: c for c in TWIN if SCRIPT[c] == next(iter(real))}
@@ -134,7 +143,7 @@ def normalise(text: str | None) -> str | None:
     """``text`` in its one form."""
     if text is None or text.isascii():
         return text
-    own = {_script(c) for c in text if c not in TWIN} & {"CYRILLIC", "GREEK"}
+    own = {_script(c) for c in text if c not in TWIN} & SCRIPTS
     latin = bool(re.search("[A-Za-z]", text)) or any(MAPPING.get(c, "").isascii() and MAPPING.get(c, "").isalpha() for c in text)
     out: list[str] = []
     word: list[str] = []

@@ -149,3 +149,8 @@ def test_pack(spark):
     assert len(out[out.id == 7]) == 2 and list(out[out.id == 1000].sort_values("piece").start_token) == [128 * k for k in range(len(out[out.id == 1000]))]
     assert len(full[full.id >= 2000]) == 200
     assert packing.pack(df.limit(0), "id", "text").count() == 0
+
+
+def test_look_alikes_of_further_scripts():
+    cases = {"Օrbis": "Orbis", "Lumeո": "Lumen", "Ꭺmber": "Amber", "siɡnal": "signal", "Երեւան": "Երեւան", "ᏣᎳᎩ": "ᏣᎳᎩ", "ᎳᎪ": "ᎳᎪ"}
+    assert {k: lookalike.normalise(k) for k in cases} == cases
