@@ -118,7 +118,7 @@ def options_broadcast(phrases: DataFrame, words: list[tuple[str, int]]) -> DataF
                         if len(known) > 200_000:
                             known.clear()
                         known[w] = [ref for _, _, ref in dictionary.near(w)]
-                out.append([known.get(w) or [ref for _, _, ref in dictionary.near(w)] for w in phrase])
+                out.append([known[w] if w in known else [ref for _, _, ref in dictionary.near(w)] for w in phrase])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.list_(pa.list_(pa.string())))], ["base", "number", "options"])
 
     return phrases.select("base", "number", "words").mapInArrow(run, _OPTIONS)
