@@ -7,11 +7,10 @@ showings, the votes of a source that copies another are discounted, and the
 value with the largest posterior wins; the best report that gives it supplies
 the field.
 
-What may be known of the sources beforehand is a prior on their accuracies.
-With ``ranked`` it is so firm that each source outweighs all lower ones
-together, whatever the data say: then the highest trusted source wins, and in
-it the latest report. The data notes fix that rule for p2_found. Without it
-(p2_fused) the accuracies come from the data alone.
+That is p2_fused. For p2_found the data notes fix the rule: of the usable values
+the one of the highest rank, then of the latest arrival. No estimate could
+change that, so none is made: p2_found takes from the grouped reports, per
+field, the greatest of rank and arrival.
 
 What the estimation needs of the data is, for each showing, only which sources
 agree with each other. There are few such patterns (4,140 for seven sources,
@@ -46,8 +45,6 @@ NO_VALUE = ["na", "none", "null", "nan", "nil", "unknown", "tba", "tbd", "tbc",
 RUNTIME = (30, 400)
 MAX_SOURCES = 5
 SOURCES = MAX_SOURCES + 2  # no rank; further ranks
-#: Sources from the least trusted to the most.
-TRUST = [MAX_SOURCES, *range(MAX_SOURCES), MAX_SOURCES + 1]
 #: Weight of arrival order below the rank in one number.
 SEQ_BITS = 44
 TOP_RANK = (1 << 18) - 1
@@ -84,14 +81,17 @@ def _votes() -> list[Column]:
     return [c for f in FIELDS for c in (F.max(F.when(F.col(f).isNotNull(), F.col("code"))).alias(f"{f}_code"), F.max_by(f, F.when(F.col(f).isNotNull(), F.col("code"))).alias(f"{f}_v"))]
 
 
-def showings(shows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def showings(shows: DataFrame, sources: int = SOURCES) -> tuple[DataFrame, DataFrame]:
     """(showings with an id or a key; rows that are showings of their own), each with n, first_seq and the votes of all sources.
 
     Rows are first merged per (copy key, id, source), which absorbs hot keys
     on the map side. Rows without id take the one id of their copies; where
-    there are two ids they stay apart, one showing per row.
+    there are two ids they stay apart, one showing per row. With one of
+    ``sources`` all reports count as of the same.
     """
     reports = _reports(shows)
+    if sources == 1:
+        reports = reports.withColumn("source", F.lit(0))
     merged = cut(reports.where("sid is not null or k1 is not null").groupBy("k1", "k2", "sid", "source").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq"), *_votes()))
     # Two ids or more, if the least and the greatest differ.
     ids = merged.where("sid is not null and k1 is not null").groupBy("k1", "k2").agg(F.min("sid").alias("only"), F.max("sid").alias("last"))
@@ -101,18 +101,18 @@ def showings(shows: DataFrame) -> tuple[DataFrame, DataFrame]:
     key = lambda k: F.when(F.col("only").isNull(), F.col(k)).alias(k)
     both = merged.where("sid is not null").select("sid", null.alias("k1"), null.alias("k2"), *rest).unionByName(free.where("not apart").select(F.col("only").alias("sid"), key("k1"), key("k2"), *rest))
     of = lambda c, s: F.when(F.col("source") == s, F.col(c))
-    per_source = [c for f in FIELDS for s in range(SOURCES) for c in (F.max(of(f"{f}_code", s)).alias(f"{f}_code{s}"), F.max_by(f"{f}_v", of(f"{f}_code", s)).alias(f"{f}_v{s}"))]
+    per_source = [c for f in FIELDS for s in range(sources) for c in (F.max(of(f"{f}_code", s)).alias(f"{f}_code{s}"), F.max_by(f"{f}_v", of(f"{f}_code", s)).alias(f"{f}_v{s}"))]
     whole = both.groupBy("sid", "k1", "k2").agg(F.sum("n").alias("n"), F.min("first_seq").alias("first_seq"), *per_source)
     lone = reports.where("sid is null and k1 is null")
     split = reports.where("sid is null and k1 is not null").join(free.where("apart").select("k1", "k2").distinct(), ["k1", "k2"], "left_semi").select(*lone.columns)
     single = lone.unionByName(split)
-    own = [c for f in FIELDS for s in range(SOURCES) for c in (F.when(F.col(f).isNotNull(), of("code", s)).alias(f"{f}_code{s}"), of(f, s).alias(f"{f}_v{s}"))]
-    return _listed(whole), _listed(single.select(F.lit(1).cast("bigint").alias("n"), F.col("seq").alias("first_seq"), *own))
+    own = [c for f in FIELDS for s in range(sources) for c in (F.when(F.col(f).isNotNull(), of("code", s)).alias(f"{f}_code{s}"), of(f, s).alias(f"{f}_v{s}"))]
+    return _listed(whole, sources), _listed(single.select(F.lit(1).cast("bigint").alias("n"), F.col("seq").alias("first_seq"), *own), sources)
 
 
-def _listed(df: DataFrame) -> DataFrame:
+def _listed(df: DataFrame, sources: int) -> DataFrame:
     """Per field the codes and values of all sources as arrays."""
-    each = lambda f, x: F.array(*[F.col(f"{f}_{x}{s}") for s in range(SOURCES)]).alias(f"{f}_{x}")
+    each = lambda f, x: F.array(*[F.col(f"{f}_{x}{s}") for s in range(sources)]).alias(f"{f}_{x}")
     return df.select("n", "first_seq", *[each(f, x) for f in FIELDS for x in ("code", "v")])
 
 
@@ -122,7 +122,7 @@ def pattern_of(votes: list[str | None]) -> str:
     return "".join("-" if v is None else str(seen.setdefault(v, len(seen))) for v in votes)
 
 
-def estimate(counts: dict[str, float], sources: int, false_values: int = 10, copy_share: float = 0.8, prior_dependence: float = 0.2, rounds: int = 30, weights: list[float] | None = None) -> tuple[list[float], list[list[float]], dict[str, int]]:
+def estimate(counts: dict[str, float], sources: int, false_values: int = 10, copy_share: float = 0.8, prior_dependence: float = 0.2, rounds: int = 30) -> tuple[list[float], list[list[float]], dict[str, int]]:
     """Accuracies, dependence and the winner per pattern, from counts per pattern.
 
     Accuracy is the share of a source's votes that are right; the dependence of
@@ -131,15 +131,13 @@ def estimate(counts: dict[str, float], sources: int, false_values: int = 10, cop
     accuracy beside the other is less like its accuracy elsewhere is more
     likely the copier: ``depend[a][b]`` is the chance that a copies b. A vote
     counts less by the chance that it is copied from a source counted before.
-    ``weights`` are log odds of the sources known beforehand; then nothing is
-    left to estimate of their accuracies.
     """
     accuracy = [0.8] * sources
     depend = [[0.0] * sources for _ in range(sources)]
     posterior: dict[str, dict[str, float]] = {}
 
     def weight(s: int) -> float:
-        return weights[s] if weights else math.log(false_values * accuracy[s] / (1 - accuracy[s]))
+        return math.log(false_values * accuracy[s] / (1 - accuracy[s]))
 
     def beliefs(p: str) -> dict[str, float]:
         score: dict[str, float] = {}
@@ -158,7 +156,7 @@ def estimate(counts: dict[str, float], sources: int, false_values: int = 10, cop
         own = [(c, p) for p, c in counts.items() if p[s] != "-" and (p[beside] != "-") == there]
         return (sum(c * posterior[p][p[s]] for c, p in own) + 4 * accuracy[s]) / (sum(c for c, _ in own) + 4)
 
-    for _ in range(1 if weights else rounds):
+    for _ in range(rounds):
         posterior = {p: beliefs(p) for p in counts if set(p) != {"-"}}
         for s in range(sources):
             n = sum(c for p, c in counts.items() if p[s] != "-")
@@ -194,30 +192,30 @@ def _pattern(votes: str, distinct: str) -> Column:
     return F.array_join(marks, "")
 
 
-def fuse(shows: DataFrame, ranked: bool = False, least_rows: int = 1) -> DataFrame:
-    """(first_seq, n, and per field code and value of largest posterior) of the showings with ``least_rows`` rows or more."""
+def fuse(shows: DataFrame) -> DataFrame:
+    """(first_seq, n, and per field the value of largest posterior) of all showings."""
     spark = shows.sparkSession
     whole, single = showings(shows)
-    whole = whole.where(F.col("n") >= least_rows) if least_rows > 1 else whole.unionByName(single)
+    whole = whole.unionByName(single)
     whole = whole.select("*", *[F.array_distinct(F.array_compact(f"{f}_v")).alias(f"{f}_distinct") for f in FIELDS])
-    whole = cut(whole.select("first_seq", "n", *[f"{f}_{x}" for f in FIELDS for x in ("code", "v", "distinct")], *[_pattern(f"{f}_v", f"{f}_distinct").alias(f"{f}_pattern") for f in FIELDS]))
-    weights = [3.0 ** (TRUST.index(s) + 1) for s in range(SOURCES)] if ranked else None
+    whole = cut(whole.select("first_seq", "n", *[f"{f}_{x}" for f in FIELDS for x in ("v", "distinct")], *[_pattern(f"{f}_v", f"{f}_distinct").alias(f"{f}_pattern") for f in FIELDS]))
     # At most 4,140 patterns of seven sources for each field, however many rows there are.
     each = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f"{f}_pattern").alias("p")) for f in FIELDS]))
     counts = whole.select(each.alias("x")).groupBy("x.f", "x.p").count().collect()
     out = whole
     for f in FIELDS:
-        _, _, winner = estimate({r.p: float(r["count"]) for r in counts if r.f == f}, SOURCES, weights=weights)
+        _, _, winner = estimate({r.p: float(r["count"]) for r in counts if r.f == f}, SOURCES)
         choice = spark.createDataFrame(pd.DataFrame(list(winner.items()) or [("", 0)], columns=[f"{f}_pattern", f"{f}_win"]))
         out = out.join(F.broadcast(choice), f"{f}_pattern", "left").withColumn(f"{f}_best", F.get(f"{f}_distinct", F.col(f"{f}_win").cast("int")))
-    supplier = lambda f: F.array_max(F.transform(f"{f}_v", lambda v, i: F.when(v == F.col(f"{f}_best"), F.get(f"{f}_code", i))))
-    return out.select("first_seq", "n", *[c for f in FIELDS for c in (supplier(f).alias(f"{f}_code"), F.col(f"{f}_best").alias(f"{f}_v"))])
+    return out.select("first_seq", "n", *[F.col(f"{f}_best").alias(f"{f}_v") for f in FIELDS])
 
 
 def best_by_trust(shows: DataFrame, least_rows: int = 1) -> DataFrame:
-    """(first_seq, format_seq, runtime_seq, excluded_seq): the fusion with a firm prior by rank."""
-    seq = lambda f: F.coalesce(F.col(f"{f}_code").bitwiseAND(F.lit((1 << SEQ_BITS) - 1)), F.lit(0).cast("bigint")).alias(f"{f}_seq")
-    return fuse(shows, True, least_rows).select("first_seq", *[seq(f) for f in FIELDS])
+    """(first_seq, format_seq, runtime_seq, excluded_seq) of the showings with ``least_rows`` rows or more: by rank, then arrival."""
+    whole, single = showings(shows, 1)
+    whole = whole.where(F.col("n") >= least_rows) if least_rows > 1 else whole.unionByName(single)
+    seq = lambda f: F.coalesce(F.array_max(f"{f}_code").bitwiseAND(F.lit((1 << SEQ_BITS) - 1)), F.lit(0).cast("bigint")).alias(f"{f}_seq")
+    return whole.select("first_seq", *[seq(f) for f in FIELDS])
 
 
 def best_by_fusion(shows: DataFrame) -> DataFrame:

@@ -78,6 +78,14 @@ def test_trust(spark):
     assert fusion.best_by_trust(df.limit(0), 2).count() == 0
 
 
+def test_the_rule_by_rank_runs_no_estimate(spark, monkeypatch):
+    """p2_found's rule holds whatever an estimate says, so none is made; a lone highest rank wins against many that agree."""
+    monkeypatch.setattr(fusion, "estimate", lambda *a, **k: (_ for _ in ()).throw(AssertionError("an estimate without effect")))
+    monkeypatch.setattr(fusion, "_pattern", fusion.estimate)
+    data = [(i, "A", "T", D, "1", "3D", 95, False, "s1", r) for i, r in enumerate((None, 0, 1, 2, 3, 4, 5), 1)] + [(8, "A", "T", D, "1", "Laser", 96, True, "s1", 9), (9, "A", "T", D, "1", "n/a", None, None, "s1", 11), (10, "A", "T", D, "1", "3D", 90, False, "s1", 8)]
+    assert list(map(tuple, fusion.best_by_trust(rows(spark, *data), 2).collect())) == [(1, 8, 8, 8)]
+
+
 def test_copied_votes_are_discounted():
     # Source 1 repeats source 0 also where both are wrong; 2, 3, 4 are independent and mostly right.
     rng = random.Random(5)
